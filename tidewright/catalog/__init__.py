@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from tidewright.catalog import basics, entities, writes
+from tidewright.catalog import basics, entities, stars, writes
 from tidewright.catalog.registry import ORACLES, QUERIES, Query
 
 FLAGSHIP = "flagship_margin_by_brand"
-MODULES = (basics, writes, entities)
+MODULES = (basics, writes, entities, stars)
 
 
 def queries() -> dict[str, Query]:
