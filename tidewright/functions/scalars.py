@@ -98,8 +98,9 @@ def date_key(day: Column) -> Column:
 
 
 def month_of_key(key: Column) -> Column:
-    """``yyyy-MM`` of an integer date key, without a calendar join."""
-    return F.format_string("%04d-%02d", (key / 10000).cast("int"), (F.pmod(key, F.lit(10000)) / 100).cast("int"))
+    """``yyyy-MM`` of an integer date key, without a calendar join; NULL stays NULL."""
+    text = key.cast("string")
+    return F.concat(F.left(text, F.lit(4)), F.lit("-"), F.substring(text, 5, 2))
 
 
 def quarter_name(day: Column) -> Column:

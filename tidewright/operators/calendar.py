@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.functions.scalars import QUARTER_NAMES, date_key
+from tidewright.functions.scalars import date_key, quarter_name
 from tidewright.operators.upsert import replace_range
 
 # The default range of the calendar.
@@ -30,7 +30,7 @@ def calendar(spark: SparkSession, start: dt.date = DEFAULT_START, end: dt.date =
 
     d = F.col("date")
     iso_week, iso_year = F.weekofyear(d), F.expr("extract(YEAROFWEEK FROM date)")
-    roman = F.element_at(F.array(*[F.lit(q) for q in QUARTER_NAMES]), F.quarter(d))
+    roman = quarter_name(d)
     quarter_start = F.trunc(d, "quarter")
     return days.select(
         date_key(d).alias("date_key"),

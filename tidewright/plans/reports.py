@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewright.functions.scalars import month_of_key
+from tidewright.session import written
 
 
 def _sum(name: str, alias: str | None = None) -> Column:
@@ -199,7 +200,8 @@ def customer_segments(sales: DataFrame, as_of: dt.date, bands: int = 5) -> DataF
             F.col("sales_amount").alias("monetary"),
         )
     )
-    scored = base.withColumn("recency_rank", -F.col("recency_days"))
+    # one row per customer, read seven times below: written once instead of summed up seven times
+    scored = written(base.withColumn("recency_rank", -F.col("recency_days")), "customer-value")
     for column, name in (("recency_rank", "r"), ("frequency", "f"), ("monetary", "m")):
         band = _bands(scored.select(column), column, f"{name}_band", bands)
         scored = scored.join(band, F.col(column) == F.col(f"_{name}_band_value"), "left").drop(f"_{name}_band_value")
