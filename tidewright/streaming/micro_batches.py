@@ -1,6 +1,6 @@
 """Optional: landing files picked up by Structured Streaming and merged batch by batch.
 
-The reference semantics are batch loads; this reuses the same upsert inside ``foreachBatch`` with
+The loads proper are batch loads; this reuses the same upsert inside ``foreachBatch`` with
 ``availableNow``, so that the stream checkpoint remembers which files were taken. A replayed batch is
 merged again and changes nothing.
 """
