@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewright.functions.scalars import EPOCH_START
-from tidewright.operators.upsert import merge_frame, merged_rows
 
 WATERMARK_DDL = (
     "table_name string, max_modified_date timestamp, layer_type string, "
@@ -87,11 +86,12 @@ def marks_of(data: DataFrame, table: str, layer: str, time_column: str, load_ts:
 def record(marks: DataFrame, rows: DataFrame) -> DataFrame:
     """Control table after the upsert of ``rows`` by (table_name, layer_type).
 
-    A NULL mark in ``rows`` keeps the old one.
+    A NULL mark in ``rows`` keeps the old one. Old and new rows meet in one aggregate, without a join.
     """
-    rows = rows.withColumnRenamed("max_modified_date", "new_mark")
-    old = marks.select(*WATERMARK_KEYS, F.col("max_modified_date").alias("old_mark"))
-    filled = rows.join(old, WATERMARK_KEYS, "left").withColumn(
-        "max_modified_date", F.coalesce("new_mark", "old_mark")
+    both = marks.withColumn("is_new", F.lit(False)).unionByName(rows.withColumn("is_new", F.lit(True)))
+    new_mark = F.max(F.when(F.col("is_new"), F.col("max_modified_date")))
+    rest = [F.max_by(c, "is_new").alias(c) for c in ("last_load_time", "row_count", "rows_changed")]
+    grouped = both.groupBy(*WATERMARK_KEYS).agg(
+        F.coalesce(new_mark, F.max("max_modified_date")).alias("max_modified_date"), *rest
     )
-    return merged_rows(merge_frame(marks, filled.select(*marks.columns), WATERMARK_KEYS))
+    return grouped.select(*marks.columns)
