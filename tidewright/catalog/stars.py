@@ -13,6 +13,7 @@ from tidewright.operators.calendar import calendar
 from tidewright.operators.upsert import merge_frame, merged_rows
 from tidewright.plans.sales import sales_changed
 from tidewright.plans.star import FACTS, dimension, fact_load, relookup
+from tidewright.session import written
 
 DIMENSIONS = (
     "dim_date",
@@ -156,8 +157,8 @@ def g10_fact_sales_incremental(spark, sf):
     stored = fact_sales(spark, sf).filter("modified_date <= timestamp'1999-06-30' or modified_date is null")
     changed = sales_changed(t.header(), t.detail(), t.cost(), MARK)
     fresh = fact_load("fact_sales", changed, dims(spark, sf), mark=MARK)
-    stored = stored.withColumn("order_quantity", F.lit(0))
-    return merged_rows(merge_frame(stored, fresh, list(FACTS["fact_sales"].keys)))
+    stored = written(stored.withColumn("order_quantity", F.lit(0)), "facts")
+    return merged_rows(merge_frame(stored, written(fresh, "facts-batch"), list(FACTS["fact_sales"].keys)))
 
 
 FACT_GL = """SELECT g.transaction_id AS transaction_key, a.account_key, dp.department_key, c.class_key,

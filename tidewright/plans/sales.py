@@ -81,7 +81,8 @@ def sales_full(header: DataFrame, detail: DataFrame, product: DataFrame) -> Data
         .join(_lines(detail), F.col("SalesOrderID") == F.col("line_order"), "left")
         .join(_costs(product), F.col("ProductID") == F.col("cost_product"), "left")
     )
-    modified = later_of(round_second(F.col("header_modified")), round_second(F.col("line_modified")))
+    # rounding keeps the order of times, so the later one can be picked first and rounded once
+    modified = round_second(later_of(F.col("header_modified"), F.col("line_modified")))
     return _measured(joined, round_second(F.col("OrderDate")), modified, full=True)
 
 

@@ -27,6 +27,8 @@ def cluster_conf(total_cores: int, waves: int = 3) -> dict[str, str]:
         "spark.sql.shuffle.partitions": str(total_cores * waves),
         "spark.sql.files.maxPartitionBytes": "256m",
         "spark.sql.parquet.filterPushdown": "true",
+        # files are compressed: size estimates for broadcasts count what is read, not what is stored
+        "spark.sql.sources.fileCompressionFactor": "4.0",
         "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     }
 
@@ -40,8 +42,6 @@ def local_session(app: str = "tidewright", cores: str = "*", partitions: int = 8
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "12g",
         "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="tidewright-wh-"),
-        # one JVM: a task start costs more than it moves, so let small shuffles coalesce fully
-        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     }
     for key, value in conf.items():
         builder = builder.config(key, value)
