@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections import ChainMap
 
 from pyspark.sql import functions as F
 
@@ -15,19 +16,6 @@ from tidewright.plans.sales import sales_changed
 from tidewright.plans.star import FACTS, dimension, fact_load, relookup
 from tidewright.session import written
 
-DIMENSIONS = (
-    "dim_date",
-    "dim_customer",
-    "dim_product",
-    "dim_employee",
-    "dim_sales_territory",
-    "dim_account",
-    "dim_department",
-    "dim_class",
-    "dim_location",
-)
-
-
 @query(
     "g9_dim_date",
     """SELECT year(d) * 10000 + month(d) * 100 + day(d) AS date_key, strftime(d, '%Y-%m-%d') AS date, day(d) AS day,
@@ -109,8 +97,8 @@ def g1_dim_load_incremental(spark, sf):
 
 
 def dims(spark, sf):
-    t = Tables(spark, sf)
-    return {name: t[name] for name in DIMENSIONS}
+    """Dimensions by name, each built only when a lookup asks for it."""
+    return Tables(spark, sf)
 
 
 FACT_SALES = """SELECT s.sales_order_id AS sales_order_key, c.customer_key, p.product_key, e.employee_key,
@@ -234,7 +222,7 @@ _EVENT_DATE = """SELECT DISTINCT CAST(ts AS DATE) AS date, year(ts) * 10000 + mo
 
 
 def event_dims(spark, sf):
-    return {**dims(spark, sf), "dim_date": calendar(spark, dt.date(2024, 1, 1), dt.date(2024, 1, 24))}
+    return ChainMap({"dim_date": calendar(spark, dt.date(2024, 1, 1), dt.date(2024, 1, 24))}, dims(spark, sf))
 
 
 def fact_opportunity(spark, sf):
@@ -316,10 +304,10 @@ def j9_date_key_whole_days(spark, sf):
 )
 def g14_relookup_late_keys(spark, sf):
     """Facts loaded before their customers arrived get their keys once the dimension rows are there."""
-    january = calendar(spark, dt.date(2024, 1, 1), dt.date(2024, 12, 31))
-    complete = {**dims(spark, sf), "dim_date": january}
+    year = calendar(spark, dt.date(2024, 1, 1), dt.date(2024, 12, 31))
+    complete = ChainMap({"dim_date": year}, dims(spark, sf))
     late = table(spark, sf, "customer").filter("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("customer_key"))
-    early = {**complete, "dim_customer": complete["dim_customer"].join(late, "customer_key", "left_anti")}
+    early = ChainMap({"dim_customer": complete["dim_customer"].join(late, "customer_key", "left_anti")}, complete)
     source = en.opportunities(spark, sf)
     stored = fact_load("fact_opportunity", source, early)
     return relookup("fact_opportunity", stored, source, complete)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -26,7 +26,7 @@ class Lookup:
     cast: str | None = None
 
 
-def star_lookup(fact: DataFrame, dimensions: dict[str, DataFrame], lookups: Sequence[Lookup]) -> DataFrame:
+def star_lookup(fact: DataFrame, dimensions: Mapping[str, DataFrame], lookups: Sequence[Lookup]) -> DataFrame:
     """Each dimension is cut to its key (and value) before the join.
 
     No broadcast is forced: the dimensions grow with the business. Catalyst broadcasts those whose size
@@ -42,7 +42,7 @@ def star_lookup(fact: DataFrame, dimensions: dict[str, DataFrame], lookups: Sequ
             asked = F.to_date(asked)
         if look.cast:
             asked = asked.try_cast(look.cast)
-        fact = fact.join(dim, asked == F.col(held), "left").drop(held)
+        fact = fact.join(dim, asked == F.col(held), "left")
     names = {look.name for look in lookups}
     found = [F.col(f"_{look.name}_value").alias(look.name) for look in lookups]
     return fact.select(*[c for c in fact.columns if c not in names and not c.startswith("_")], *found)

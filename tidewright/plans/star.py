@@ -176,7 +176,7 @@ def fact_load(
         *fact.measures,
         "modified_date",
     )
-    found = star_lookup(slim, dict(dimensions), lookups)
+    found = star_lookup(slim, dimensions, lookups)
     return found.select(
         *[F.col(f"kept_{new}").alias(new) for new in fact.rename],
         *[look.name for look in lookups],

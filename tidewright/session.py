@@ -39,6 +39,7 @@ def local_session(app: str = "tidewright", cores: str = "*", partitions: int = 8
     conf = {
         **cluster_conf(partitions, waves=1),
         "spark.ui.enabled": "false",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",  # no call-site capture per column expression
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "12g",
         "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="tidewright-wh-"),
