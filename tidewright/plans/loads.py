@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewright.functions.scalars import EPOCH_START
+from tidewright.functions.scalars import EPOCH_START, month_of_key
 from tidewright.operators import ledger as ledger_ops
 from tidewright.operators.calendar import DEFAULT_END, DEFAULT_START, calendar, refreshed_calendar
 from tidewright.operators.upsert import Condition, date_differs, hash_differs
@@ -49,6 +49,33 @@ class LoadResult:
     rejected: Mapping[str, int] = field(default_factory=dict)
 
 
+# Large tables are stored by month, so that a merge rewrites only the months it touches.
+MONTH_PART = "month_part"
+NO_MONTH = "none"
+MONTH_OF = {
+    "sales": "order_date",
+    "transaction": "transaction_date",
+    "product_inventory": "transaction_date",
+    "fact_sales": "order_date_key",
+    "fact_transaction": "transaction_date_key",
+    "fact_product_inventory": "date_key",
+    "fact_survey": "survey_date_key",
+}
+
+
+def by_month(table: str, rows: DataFrame) -> DataFrame:
+    """Rows with the month they are stored under, for the tables that are stored by month."""
+    if table not in MONTH_OF:
+        return rows
+    column = F.col(MONTH_OF[table])
+    month = month_of_key(column) if MONTH_OF[table].endswith("_key") else F.date_format(column, "yyyy-MM")
+    return rows.withColumn(MONTH_PART, F.coalesce(month, F.lit(NO_MONTH)))
+
+
+def month_partition(table: str) -> str | None:
+    return MONTH_PART if table in MONTH_OF else None
+
+
 # ---- raw layer ------------------------------------------------------------------------------------
 
 
@@ -203,10 +230,13 @@ ENTITIES: dict[str, Entity] = {
 
 def create_tables(store: Store) -> None:
     """Every conformed and star table, empty, with its fixed layout."""
-    for table, ddl in CONFORMED.items():
-        store.create(CONFORMED_LAYER, table, ddl)
-    for table in [*DIMENSION_KEYS, *STAR_FACTS]:
-        store.create(STAR, table, star_layout(table))
+    layouts = [(CONFORMED_LAYER, table, ddl) for table, ddl in CONFORMED.items()]
+    layouts += [(STAR, table, star_layout(table)) for table in [*DIMENSION_KEYS, *STAR_FACTS]]
+    for layer, table, ddl in layouts:
+        if table in MONTH_OF:
+            store.create(layer, table, f"{ddl}, {MONTH_PART} VARCHAR(7)", partition_by=[MONTH_PART])
+        else:
+            store.create(layer, table, ddl)
     store.replace(STAR, "dim_date", calendar(store.spark, DEFAULT_START, DEFAULT_START).limit(0))
 
 
@@ -219,7 +249,10 @@ def load_conformed_full(store: Store, table: str, load_ts: dt.datetime) -> LoadR
 
 def _reload(store: Store, layer: str, table: str, rows: DataFrame, load_ts, sort) -> LoadResult:
     newest = F.max("modified_date").cast("timestamp_ntz").alias("newest")
-    counts = store.replace(layer, table, rows, [newest], sort=sort)
+    if table in MONTH_OF:
+        counts = store.reload_partitioned(layer, table, by_month(table, rows), MONTH_PART, [newest])
+    else:
+        counts = store.replace(layer, table, rows, [newest], sort=sort)
     previous = store.mark(layer, table)
     mark = next_mark(counts["newest"], previous, load_ts)
     written = counts["row_count_written"]
@@ -237,17 +270,18 @@ def load_conformed_incremental(store: Store, table: str, load_ts: dt.datetime) -
 
 
 def _merge(store, layer, table, batch, keys, time_column, previous, load_ts, rule, rules) -> LoadResult:
-    staged = store.stage(batch, time_column, f"{layer}-{table}")
+    staged = store.stage(by_month(table, batch), time_column, f"{layer}-{table}")
+    if rules.get("update") and table in MONTH_OF:
+        rules = {**rules, "update": [*rules["update"], MONTH_PART]}
     mark = next_mark(staged.newest, previous, load_ts, rule)
     if staged.rows == 0:
         # nothing newer: the table stays as it is, the control row still records the run
         store.advance(layer, table, mark, load_ts, None, 0)
         return LoadResult(table, layer, NO_NEW_DATA, previous, mark, None, 0)
-    counts = store.merge(layer, table, staged, list(keys), **rules)
-    store.advance(layer, table, mark, load_ts, counts["row_count_written"], counts["rows_changed"])
-    return LoadResult(
-        table, layer, SUCCESS, previous, mark, counts["row_count_written"], counts["rows_changed"]
-    )
+    counts = store.merge(layer, table, staged, list(keys), partition=month_partition(table), **rules)
+    rows = store.read(layer, table).count() if table in MONTH_OF else counts["row_count_written"]  # footers only
+    store.advance(layer, table, mark, load_ts, rows, counts["rows_changed"])
+    return LoadResult(table, layer, SUCCESS, previous, mark, rows, counts["rows_changed"])
 
 
 # ---- star layer -----------------------------------------------------------------------------------
@@ -283,10 +317,7 @@ def _star_keys(table: str) -> list[str]:
 
 
 def load_star_full(store: Store, table: str, load_ts: dt.datetime) -> LoadResult:
-    sort = [_star_keys(table)[0]]
-    dates = [look.name for look in star.FACTS[table].lookups if look.dimension == "dim_date"] if table in star.FACTS else []
-    # facts are laid out by day, so that reports over a period skip files
-    return _reload(store, STAR, table, _star_rows(store, table, None), load_ts, sort=dates or sort)
+    return _reload(store, STAR, table, _star_rows(store, table, None), load_ts, sort=[_star_keys(table)[0]])
 
 
 def load_star_incremental(store: Store, table: str, load_ts: dt.datetime) -> LoadResult:

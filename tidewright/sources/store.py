@@ -72,12 +72,26 @@ class Store:
 
     def _write(self, df: DataFrame, path: str, metrics: Sequence[Column], sort: Sequence[str] = ()) -> dict:
         if sort:
-            df = df.repartitionByRange(*sort).sortWithinPartitions(*sort)
+            # ranges are cut by the sort columns and a hash of the row: a value that holds a large share of the
+            # rows is spread over several tasks, and files stay narrow in the sort columns
+            tie = F.xxhash64(*[c for c in df.columns if c != ACTION])
+            df = df.repartitionByRange(*sort, tie).sortWithinPartitions(*sort)
         seen = Observation()
         observed = df.observe(seen, F.count(F.lit(1)).alias("row_count_written"), *metrics)
         observed.drop(ACTION).write.mode("errorifexists").parquet(path)
         return seen.get
 
+    def _write_parts(self, df: DataFrame, path: str, partition: str, metrics: Sequence[Column]) -> tuple[dict, set[str]]:
+        """Files by partition value. The rebalance splits a value that outgrows a task and joins small ones."""
+        seen = Observation()
+        observed = df.observe(seen, F.count(F.lit(1)).alias("row_count_written"), *metrics).drop(ACTION)
+        observed.hint("rebalance", F.col(partition)).write.partitionBy(partition).parquet(path)
+        counts = seen.get
+        if not counts["row_count_written"]:
+            return counts, set()
+        values = self.spark.read.schema(df.drop(ACTION).schema).parquet(path).select(partition).distinct()
+        return counts, {r[0] for r in values.collect()}  # read from the folder names; months, not rows
+
     def replace(
         self, layer: str, table: str, df: DataFrame, metrics: Sequence[Column] = (), sort: Sequence[str] = ()
     ) -> dict:
@@ -98,6 +112,23 @@ class Store:
         self.spark.catalog.refreshTable(self.name(layer, table))
         return counts
 
+    def reload_partitioned(
+        self, layer: str, table: str, df: DataFrame, partition: str, metrics: Sequence[Column] = ()
+    ) -> dict:
+        """Whole table written anew in partitions (M5, D7); registered only when the files are complete."""
+        path = self._fresh_path(layer, table)
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}`")
+        counts, filled = self._write_parts(df, path, partition, metrics)
+        layout = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name(layer, table)}")
+        self.spark.sql(
+            f"CREATE TABLE {self.name(layer, table)} ({layout}) USING parquet "
+            f"PARTITIONED BY (`{partition}`) LOCATION '{path}'"
+        )
+        if filled:
+            self.spark.catalog.recoverPartitions(self.name(layer, table))
+        return counts
+
     def replace_partitions(
         self, layer: str, table: str, df: DataFrame, partition: str, touched: Sequence[str], metrics: Sequence[Column] = ()
     ) -> dict:
@@ -106,15 +137,7 @@ class Store:
         The list of touched partition values is short by nature (months); rows never reach the driver.
         """
         path = self._fresh_path(layer, table)
-        seen = Observation()
-        observed = df.observe(seen, F.count(F.lit(1)).alias("row_count_written"), *metrics)
-        # one shuffle by partition value and a hash of the row spreads a hot month over several files
-        spread = F.pmod(F.xxhash64(*[c for c in df.columns if c not in (partition, ACTION)]), F.lit(16))
-        observed.drop(ACTION).repartition(partition, spread).write.partitionBy(partition).parquet(path)
-        counts = seen.get
-        filled = {r[0] for r in self.spark.read.parquet(path).select(partition).distinct().collect()} if counts[
-            "row_count_written"
-        ] else set()
+        counts, filled = self._write_parts(df, path, partition, metrics)
         for value in touched:
             spec = f"PARTITION ({partition}='{value}')"
             self.spark.sql(f"ALTER TABLE {self.name(layer, table)} DROP IF EXISTS {spec}")
