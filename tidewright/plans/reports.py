@@ -184,7 +184,7 @@ def _cumulative(counted: DataFrame, column: str) -> DataFrame:
     return ranged.join(before, "range").withColumn("upto", F.col("rows_before") + F.sum("n").over(inside))
 
 
-RANGES = 256
+RANGES = 128
 
 
 def customer_segments(sales: DataFrame, as_of: dt.date, bands: int = 5) -> DataFrame:
