@@ -11,7 +11,7 @@ import datetime as dt
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidewright.functions.scalars import EPOCH_START, month_of_key
@@ -86,21 +86,15 @@ def load_raw_full(store: Store, table: str, landed: DataFrame, load_ts: dt.datet
         raise ValueError(f"{table} has no full load")
     if landed.isEmpty():
         raise EmptySource(table)
-    rows = full_extract(landed, config)
+    rejects = Observation()  # counted in the pass that writes the table
+    rows = full_extract(landed.observe(rejects, *reject_metrics(landed, config.schema)), config)
     metrics = [F.max(config.time_column).cast("timestamp_ntz").alias("newest")] if config.time_column else []
-    rejects = reject_counts_of(landed, table)
     counts = store.replace(RAW, table, rows, metrics)
     mark = next_mark(counts.get("newest"), None, load_ts, "data_or_now")
     written = counts["row_count_written"]
     store.advance(RAW, table, mark, load_ts, written, written)
-    return LoadResult(table, RAW, SUCCESS, None, mark, written, written, rejects)
-
-
-def reject_counts_of(landed: DataFrame, table: str) -> dict[str, int]:
-    """Values that were present but unreadable, per column (only columns that have some)."""
-    metrics = reject_metrics(landed, RAW_TABLES[table].schema)
-    row = landed.agg(*metrics).first().asDict()
-    return {name.removeprefix("rejected_"): n for name, n in row.items() if n}
+    rejected = {name.removeprefix("rejected_"): n for name, n in rejects.get.items() if n}
+    return LoadResult(table, RAW, SUCCESS, None, mark, written, written, rejected)
 
 
 def load_raw_incremental(
