@@ -11,9 +11,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
+from tidewright import catalog
 
 SF = Path("/root/testdata/sf0.001")
-QUERIES, ORACLES = entry_point.queries(), entry_point.oracle_sql()
+QUERIES, ORACLES = catalog.queries(), catalog.oracles()
 
 
 @pytest.fixture(scope="module")
