@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import exact_dedup, substring_dedup
+from tidewright.llm import exact_dedup, ngram_join, substring_dedup
 from tidewright.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,3 +63,32 @@ FROM docs LEFT JOIN kept USING (doc_id)""",
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = substring_dedup.without_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query(
+    "op4_ngram_jaccard_join",
+    f"""WITH RECURSIVE docs AS (SELECT doc_id, {WORDS.format(LOWERED)} AS words FROM documents),
+shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(words[first:first + 4], ' ') AS shingle
+    FROM (SELECT doc_id, words, unnest(range(1, greatest(2, len(words) - 3))) AS first FROM docs WHERE len(words) > 0)
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+    SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS n
+    FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id
+),
+links AS (
+    SELECT u, v FROM shared s JOIN sizes a ON a.doc_id = u JOIN sizes b ON b.doc_id = v
+    WHERE 100 * s.n >= 75 * (a.n + b.n - s.n)
+),
+reached AS (
+    SELECT doc_id AS start, doc_id AS reach FROM docs
+    UNION
+    SELECT start, v FROM reached JOIN links ON reach = u
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, least AS component_id
+FROM docs LEFT JOIN sizes USING (doc_id) JOIN (SELECT start, min(reach) AS least FROM reached GROUP BY start) ON start = doc_id""",
+)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ngram_join.near_components(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_shingles", "component_id")
