@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import exact_dedup, ngram_join, substring_dedup
+from tidewright.llm import exact_dedup, mixing, ngram_join, packing, substring_dedup, tokenizer_files
 from tidewright.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,3 +92,44 @@ FROM docs LEFT JOIN sizes USING (doc_id) JOIN (SELECT start, min(reach) AS least
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = ngram_join.near_components(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_shingles", "component_id")
+
+
+@query(
+    "op5_mix_sources",
+    f"""WITH docs AS (SELECT doc_id, text, source, len({WORDS.format("coalesce(text, '')")})::BIGINT AS size FROM documents),
+totals AS (SELECT source, sum(size)::BIGINT AS source_size FROM docs GROUP BY source),
+weighed AS (
+    SELECT source, source_size, (2 * source_size)::DOUBLE AS most,
+           ([3, 1, 2])[((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS weight
+    FROM totals
+),
+levels AS (
+    SELECT *, row_number() OVER (ORDER BY most / weight, source) AS place,
+           (CAST(1.5 AS DOUBLE) * sum(source_size) OVER () - coalesce(sum(most) OVER below, 0)) / sum(weight) OVER onward AS level
+    FROM weighed
+    WINDOW below AS (ORDER BY most / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+           onward AS (ORDER BY most / weight, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+),
+settled AS (SELECT arg_min(level, place) AS level FROM levels WHERE NOT most < level * weight),
+targets AS (
+    SELECT w.source, source_size, CASE WHEN most < level * weight THEN most ELSE level * weight END AS target
+    FROM weighed w, settled
+),
+rated AS (
+    SELECT doc_id, size, source_size, target,
+           CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
+           ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, md5(coalesce(text, '')))), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS coin
+    FROM docs d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, size, source_size, target, (size * (floor(rate) + (coin < rate - floor(rate))::INT))::BIGINT AS taken FROM rated""",
+)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chosen = mixing.mixed(read_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return chosen.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+@query("op10_best_fit_packing")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    cut = packing.pieces(docs, tokenizer_files.path("word_bpe_49k.json"))
+    return packing.placed(cut.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
