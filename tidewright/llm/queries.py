@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import exact_dedup, mixing, ngram_join, packing, substring_dedup, tokenizer_files
+from tidewright.llm import exact_dedup, mixing, ngram_join, packing, quality, substring_dedup, tokenizer_files, toxicity
 from tidewright.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -133,3 +133,15 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     cut = packing.pieces(docs, tokenizer_files.path("word_bpe_49k.json"))
     return packing.placed(cut.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+
+
+@query("op8_byte_network_quality")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return quality.judged(docs, quality.fit(docs, read_table(spark, sf_dir, "labels")))
+
+
+@query("op9_trie_automata_toxicity")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return toxicity.judged(docs, toxicity.fit(docs, read_table(spark, sf_dir, "labels")))
