@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import exact_dedup, mixing, ngram_join, packing, quality, substring_dedup, tokenizer_files, toxicity
+from tidewright.llm import chat, exact_dedup, mixing, ngram_join, packing, quality, revisits, substring_dedup, tokenizer_files, toxicity, vector_search
 from tidewright.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -145,3 +145,106 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return toxicity.judged(docs, toxicity.fit(docs, read_table(spark, sf_dir, "labels")))
+
+
+@query("op1_adaptive_dimension_search")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
+    return vector_search.nearest(vectors, F.col("vec_id") % 50 == 0)
+
+
+def _sql_escaped(text: str) -> str:
+    out = "replace({}, '\\', '\\\\')".format(text)
+    for control in chat.CONTROL:
+        out = f"replace({out}, '{control}', '{control[0]}\\{control[1:]}')"
+    return out
+
+
+@query(
+    "op6_chat_masks",
+    f"""WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, * FROM (VALUES (0, 'user', '</s>[INST] ok [/INST]'), (1, 'assistant', '</s>[INST] ok [/INST]'))
+),
+whole AS (
+    SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS turns,
+           coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '') AS loss,
+           sum(len({_sql_escaped("text")}) + CASE WHEN role = 'assistant' THEN 7 ELSE 14 + len(role) END)::BIGINT AS formatted_chars
+    FROM turns GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, len(loss)::BIGINT AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM whole""",
+)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    return chat.read_back(chat.formatted(turns.unionByName(more), tokenizer_files.path("byte_bpe_50k.json")))
+
+
+# Captures made from pages: most pages are a full response; each is asked for again a little later, with the tag that it had
+# (weak or strong), another one, or none.
+_CAPTURES = """captures AS (
+    SELECT 2 * page_id AS record_id, url, page_id AS time, true AS "full", md5(html) AS etag FROM pages WHERE page_id % 7 <> 3
+    UNION ALL
+    SELECT 2 * page_id + 1, 'HTTP://WWW.' || regexp_replace(url, '^https?://(www[.])?', '') || '#again', page_id + 1, false,
+           CASE page_id % 5 WHEN 0 THEN 'W/' || md5(html) WHEN 1 THEN md5(url) WHEN 2 THEN NULL ELSE md5(html) END
+    FROM pages
+)"""
+
+
+@query(
+    "op7_not_modified_revisits",
+    f"""WITH {_CAPTURES},
+keyed AS (
+    SELECT *, lower(regexp_extract(url, '{revisits.HOST}', 1)) || regexp_replace(regexp_extract(url, '{revisits.PATH}', 1), '/+$', '') AS page,
+           regexp_replace(regexp_replace(regexp_extract(url, '^[^?#]*[?]([^#]*)', 1), '{revisits.TRACKING}', '', 'g'), '^&', '') AS asked
+    FROM captures
+),
+named AS (SELECT *, page || CASE WHEN asked <> '' THEN '?' || asked ELSE '' END AS url_key FROM keyed),
+tied AS (
+    SELECT *, last_value(CASE WHEN "full" THEN struct_pack(id := record_id, tag := etag, date := time) END IGNORE NULLS) OVER (
+               PARTITION BY url_key ORDER BY time, record_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prior
+    FROM named
+),
+judged AS (
+    SELECT *, CASE WHEN prior IS NULL THEN 'orphan'
+                   WHEN etag IS NULL OR regexp_replace(etag, '^W/', '') = prior.tag THEN 'resolved' ELSE 'changed' END AS outcome
+    FROM tied WHERE NOT "full"
+)
+SELECT record_id, url_key, outcome, CASE WHEN outcome = 'resolved' THEN prior.id END AS full_id,
+       CASE WHEN outcome = 'resolved' THEN 'again ' || time END AS header_date,
+       CASE WHEN outcome = 'resolved' THEN coalesce(etag, prior.tag) END AS header_etag,
+       CASE WHEN outcome = 'resolved' THEN 'text/html' END AS header_type,
+       CASE WHEN outcome = 'resolved' THEN 'first ' || prior.date END AS header_server
+FROM judged""",
+)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url", F.md5("html").alias("tag"))
+    page = F.col("page_id")
+    asked = F.when(page % 5 == 0, F.concat(F.lit("W/"), "tag")).when(page % 5 == 1, F.md5("url")).when(page % 5 == 2, F.lit(None)).otherwise(F.col("tag"))
+    late_url = F.concat(F.lit("HTTP://WWW."), F.regexp_replace("url", "^https?://(www[.])?", ""), F.lit("#again"))
+    none = F.lit(None).cast("string")
+
+    def record(number, url, time, full, etag, headers):
+        filled = F.map_filter(F.create_map(*headers), lambda _, v: v.isNotNull())
+        return F.struct(
+            number.alias("record_id"), url.alias("url"), time.alias("time"), F.lit(full).alias("full"), etag.alias("etag"),
+            none.alias("last_modified"), filled.alias("headers"),
+        )
+
+    def text(prefix, value):
+        return F.concat(F.lit(prefix), value.cast("string"))
+
+    first = record(2 * page, F.col("url"), page, True, F.col("tag"), [
+        F.lit("content-type"), F.lit("text/html"), F.lit("etag"), F.col("tag"), F.lit("date"), text("first ", page), F.lit("server"), text("first ", page),
+    ])
+    again = record(2 * page + 1, late_url, page + 1, False, asked, [
+        F.lit("content-type"), F.lit("none"), F.lit("etag"), asked, F.lit("date"), text("again ", page + 1), F.lit("server"), F.lit("again"),
+    ])
+    records = pages.select(F.explode(F.array(first, again)).alias("r")).select("r.*").filter("NOT full OR (record_id / 2) % 7 <> 3")
+    found = revisits.resolved(records)
+    header = lambda name, to: F.col("headers").getItem(name).alias(to)
+    return found.select(
+        "record_id", "url_key", "outcome", "full_id",
+        header("date", "header_date"), header("etag", "header_etag"), header("content-type", "header_type"), header("server", "header_server"),
+    )
