@@ -46,6 +46,11 @@ def tasks_for(spark: SparkSession, measured: int, each: int) -> int:
     return max(spark.sparkContext.defaultParallelism, math.ceil(measured / each))
 
 
+def others(docs: DataFrame, *names: str) -> list[str]:
+    """Quoted columns of `docs` besides these; names are compared as Spark compares them, without case."""
+    return [f"`{x}`" for x in docs.columns if x.lower() not in names]
+
+
 def text_volume(docs: DataFrame) -> int:
     """UTF-8 bytes of all texts; one number reaches the driver."""
     return docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from tidewright.llm.common import as_bytes, join_classes, lowered, tasks_for, text_volume
+from tidewright.llm.common import as_bytes, join_classes, lowered, others, tasks_for, text_volume
 from tidewright.session import scratch_path
 
 TABLE_BYTES = 96 << 20
@@ -165,35 +165,37 @@ def content_classes(docs: DataFrame, table_bytes: int = TABLE_BYTES) -> DataFram
         records, volume, level = written.filter(spilled), seen.get["bytes"], level + 1
 
 
-def exact_duplicates(docs: DataFrame, table_bytes: int = TABLE_BYTES) -> DataFrame:
-    """All rows of `docs` with keep_id, group_size, kept and text_sha256.
-
-    Columns of these names in the input are replaced.
-    """
+def _marked(docs: DataFrame, table_bytes: int) -> DataFrame:
+    """All columns of `docs` and _digest, _keep_id, _group_size, _kept."""
     classes = content_classes(docs, table_bytes)
     counted = classes.agg(F.sum("copies").alias("n"), F.max("at_largest").alias("ties")).first()
     total, ties = counted["n"] or 0, counted["ties"] or 0
     named = classes.select(
-        F.lower(F.hex("digest")).alias("text_sha256"),
-        F.when(F.col("largest") != _NONE, F.col("largest")).alias("keep_id"),
-        F.col("copies").alias("group_size"),
+        F.lower(F.hex("digest")).alias("_digest"),
+        F.when(F.col("largest") != _NONE, F.col("largest")).alias("_keep_id"),
+        F.col("copies").alias("_group_size"),
         F.col("at_largest").alias("_ties"),
     )
-    own = [c for c in docs.columns if c not in ("keep_id", "group_size", "kept", "text_sha256")]
-    rows = docs.select(*[f"`{c}`" for c in own], F.sha2(lowered(F.col("text")), 256).alias("text_sha256"))
-    found = join_classes(rows, named, ["text_sha256"], "group_size", total)
-    stays = F.col("doc_id").eqNullSafe(F.col("keep_id"))
-    if ties > 1:
-        # only rows that repeat the id of the row that stays are numbered
-        tied = found.filter(stays & (F.col("_ties") > 1))
-        order = Window.partitionBy("text_sha256").orderBy("doc_id")
-        first = tied.withColumn("kept", F.row_number().over(order) == 1)
-        found = found.filter(~(stays & (F.col("_ties") > 1))).withColumn("kept", stays).unionByName(first)
-    else:
-        found = found.withColumn("kept", stays)
-    return found.select(*[f"`{c}`" for c in own], "keep_id", "group_size", "kept", "text_sha256")
-
-
-def deduplicated(docs: DataFrame) -> DataFrame:
+    rows = docs.withColumn("_digest", F.sha2(lowered(F.col("text")), 256))
+    found = join_classes(rows, named, ["_digest"], "_group_size", total)
+    stays = F.col("doc_id").eqNullSafe(F.col("_keep_id"))
+    if ties <= 1:
+        return found.withColumn("_kept", stays)
+    # only rows that repeat the id of the row that stays are numbered
+    tied = stays & (F.col("_ties") > 1)
+    order = Window.partitionBy("_digest").orderBy("doc_id")
+    first = found.filter(tied).withColumn("_kept", F.row_number().over(order) == 1)
+    return found.filter(~tied).withColumn("_kept", stays).unionByName(first)
+
+
+def exact_duplicates(docs: DataFrame, table_bytes: int = TABLE_BYTES) -> DataFrame:
+    """All rows of `docs` with keep_id, group_size, kept and text_sha256; columns of these names are replaced."""
+    own = others(docs, "keep_id", "group_size", "kept", "text_sha256")
+    found = _marked(docs, table_bytes)
+    named = [F.col("_" + x).alias(x) for x in ("keep_id", "group_size", "kept")]
+    return found.select(*own, *named, F.col("_digest").alias("text_sha256"))
+
+
+def deduplicated(docs: DataFrame, table_bytes: int = TABLE_BYTES) -> DataFrame:
     """The rows that stay, with the columns of the input."""
-    return exact_duplicates(docs).filter("kept").select(*[f"`{c}`" for c in docs.columns])
+    return _marked(docs, table_bytes).filter("_kept").select(*others(docs))

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidewright.llm.common import HOT_CLASSES, WORD, join_classes
+from tidewright.llm.common import HOT_CLASSES, WORD, join_classes, others
 from tidewright.session import written
 
 WEIGHTS = (3, 1, 2)
@@ -80,28 +80,32 @@ def mixed(
     docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, cap: float = CAP, seed: str = SEED
 ) -> DataFrame:
     """All rows of `docs` plus size, source_size, target and copies; columns of these names are replaced."""
-    own = [x for x in docs.columns if x not in ("size", "source_size", "target", "copies")]
-    sized = docs.select(*[f"`{x}`" for x in own], words_in(F.col("text")).alias("size"))
-    counted = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("rows"))
+    names = ("size", "source_size", "target", "copies")
+    found = _mixed(docs, weights, share, cap, seed)
+    return found.select(*others(docs, *names), *[F.col("_" + x).alias(x) for x in names])
+
+
+def emitted(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, cap: float = CAP, seed: str = SEED) -> DataFrame:
+    """The mix itself: every document as often as it is taken, with the columns of the input."""
+    chosen = _mixed(docs, weights, share, cap, seed).filter("_copies > 0")
+    return chosen.withColumn("_nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(*others(docs))
+
+
+def _mixed(docs: DataFrame, weights: Sequence[float], share: float, cap: float, seed: str) -> DataFrame:
+    sized = docs.withColumn("_size", words_in(F.col("text")))
+    counted = sized.groupBy("source").agg(F.sum("_size").alias("source_size"), F.count(F.lit(1)).alias("rows"))
     totals = written(counted, "totals")
     seen = totals.agg(F.count(F.lit(1)).alias("sources"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")).first()
     targets = source_targets(totals, seen["sources"], weights, share, cap)
     keys = ["_source", "_unnamed"]
     named = [F.coalesce("source", F.lit("")).alias(keys[0]), F.col("source").isNull().alias(keys[1])]
-    side = targets.select(*named, "source_size", "rows", "target")
+    side = targets.select(*named, F.col("source_size").alias("_source_size"), F.col("rows").alias("_rows"), F.col("target").alias("_target"))
     rows = sized.select("*", *named)
     if seen["sources"] <= HOT_CLASSES:
         found = rows.join(F.broadcast(side), keys, "left")
     else:
-        found = join_classes(rows, side, keys, "rows", seen["rows"])
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
+        found = join_classes(rows, side, keys, "_rows", seen["rows"])
+    rate = F.when(F.col("_source_size") > 0, F.col("_target") / F.col("_source_size")).otherwise(0.0)
     whole = F.floor(rate)
     extra = (coin(F.col("doc_id"), F.col("text"), seed) < rate - whole).cast("long")
-    return found.select(*[f"`{x}`" for x in own], "size", "source_size", "target", (whole + extra).alias("copies"))
-
-
-def emitted(docs: DataFrame, **rules) -> DataFrame:
-    """The mix itself: every document as often as it is taken, with the columns of the input."""
-    chosen = mixed(docs, **rules).filter("copies > 0")
-    repeated = chosen.withColumn("copies", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-    return repeated.select(*[f"`{x}`" for x in docs.columns])
+    return found.withColumn("_copies", whole + extra)

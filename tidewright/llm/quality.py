@@ -76,13 +76,13 @@ class Network:
             if where:
                 places.append(out.argmax(axis=1))
             best.append(np.maximum(out.max(axis=1) + w["filter_bias"], 0))
-        none = np.zeros((0, FILTERS), np.float32)
+        none = np.zeros((0, FILTERS), w["filters"].dtype)
         return np.concatenate([none, *best]), np.concatenate(places) if places else None
 
     @staticmethod
     def pooled(best: np.ndarray, owner: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Per document: mean and largest activation of its chunks, and its length as a position between powers of two."""
-        out = np.zeros((len(sizes), 2 * FILTERS + SIZES), np.float32)
+        out = np.zeros((len(sizes), 2 * FILTERS + SIZES), best.dtype)
         counts = np.bincount(owner, minlength=len(sizes))
         has = np.flatnonzero(counts)
         if len(has):
@@ -157,18 +157,18 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Netwo
     return train(*sample(docs, labels, "quality", per_class))
 
 
-def scored(docs: DataFrame, net: Network) -> DataFrame:
-    """Rows of `docs` plus quality_score, from the text alone."""
+def scored(docs: DataFrame, net: Network, name: str = "quality_score") -> DataFrame:
+    """Rows of `docs` plus their score, from the text alone; a column of that name is replaced."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = c.as_bytes(batch.column("text"))
             scores = [net.scores(texts[a:b]) for a, b in c.chunks(texts, 1 << 20)]
             column = pa.array(np.concatenate([np.zeros(0), *scores]), pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, column], names=[*batch.schema.names, "quality_score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, column], names=[*batch.schema.names, name])
 
-    own = docs.select(*[f"`{x}`" for x in docs.columns if x != "quality_score"])
-    return own.mapInArrow(run, T.StructType([*own.schema.fields, T.StructField("quality_score", T.DoubleType())]))
+    own = docs.select(*c.others(docs, name))
+    return own.mapInArrow(run, T.StructType([*own.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
 def judged(docs: DataFrame, net: Network, threshold: float = THRESHOLD) -> DataFrame:
@@ -180,4 +180,4 @@ def judged(docs: DataFrame, net: Network, threshold: float = THRESHOLD) -> DataF
 
 def kept(docs: DataFrame, net: Network, threshold: float = THRESHOLD) -> DataFrame:
     """Rows that the classifier does not reject, with the columns of the input."""
-    return scored(docs, net).filter(F.col("quality_score") >= threshold).select(*[f"`{x}`" for x in docs.columns])
+    return scored(docs, net, "_score_of_text").filter(F.col("_score_of_text") >= threshold).select(*c.others(docs))

@@ -279,18 +279,18 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model
     return train(*sample(docs, labels, "toxic", per_class))
 
 
-def scored(docs: DataFrame, model: Model) -> DataFrame:
-    """Rows of `docs` plus toxicity_score, from the text alone."""
+def scored(docs: DataFrame, model: Model, name: str = "toxicity_score") -> DataFrame:
+    """Rows of `docs` plus their score, from the text alone; a column of that name is replaced."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = c.as_bytes(batch.column("text"))
             scores = [model.scores(texts[a:b]) for a, b in c.chunks(texts)]
             column = pa.array(np.concatenate([np.zeros(0), *scores]), pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, column], names=[*batch.schema.names, "toxicity_score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, column], names=[*batch.schema.names, name])
 
-    own = docs.select(*[f"`{x}`" for x in docs.columns if x != "toxicity_score"])
-    return own.mapInArrow(run, T.StructType([*own.schema.fields, T.StructField("toxicity_score", T.DoubleType())]))
+    own = docs.select(*c.others(docs, name))
+    return own.mapInArrow(run, T.StructType([*own.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
 def judged(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:

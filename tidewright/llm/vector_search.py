@@ -79,30 +79,27 @@ class ColumnScan:
         self.cuts = sorted({max(1, size * (i + 1) // COLUMN_BLOCKS) for i in range(COLUMN_BLOCKS)})
         self.read = 0
 
-    def nearest(self, unit_query: np.ndarray, rotated: np.ndarray, k: int) -> np.ndarray:
-        """Rows that may be among the k nearest; every one that is read to the end counts."""
+    def nearest(self, rotated: np.ndarray, k: int) -> np.ndarray:
+        """Rows that may be among the k nearest to a rotated unit query."""
         size, rows = self.columns.shape
-        first = min(rows, max(4 * k, 64))
-        exact = ((self.columns[:, :first] - rotated[:, None]) ** 2).sum(axis=0)
-        if rows <= first:
+        if rows <= 4 * k:
             return np.arange(rows)
-        bound = np.partition(exact, k - 1)[k - 1] if k <= first else np.inf
-        alive = np.arange(first, rows)
-        partial = np.zeros(len(alive), np.float32)
-        done = 0
+        alive, partial, done, bound = np.arange(rows), np.zeros(rows, np.float32), 0, np.inf
         for cut in self.cuts:
-            block = self.columns[done:cut, first:] if not done else self.columns[done:cut][:, alive]
+            block = self.columns[:cut] if not done else self.columns[done:cut][:, alive]
             partial = partial + ((block - rotated[done:cut, None]) ** 2).sum(axis=0)
             self.read += block.size
+            if not done:  # the most promising rows are read to the end: the k-th best of them bounds the rest
+                first = np.argpartition(partial, 4 * k - 1)[: 4 * k]
+                exact = ((self.columns[:, first] - rotated[:, None]) ** 2).sum(axis=0)
+                bound = np.partition(exact, k - 1)[k - 1] * (1 + 1e-4)
+                self.read += exact.size * size
             done = cut
-            if done < size:
-                # a candidate goes if its share of distance is too large to be chance
-                stay = partial * (size / done) <= bound * (1 + SIGNIFICANCE / np.sqrt(done)) ** 2
-                alive, partial = alive[stay], partial[stay]
-                if not len(alive):
-                    break
-        close = alive[partial <= bound * (1 + 1e-4)] if len(alive) else alive
-        return np.concatenate([np.flatnonzero(exact <= bound * (1 + 1e-4)), close])
+            # a candidate goes if its share of the distance is too large to be chance
+            slack = (1 + SIGNIFICANCE / np.sqrt(done)) ** 2 * done / size if done < size else 1.0
+            stay = partial <= bound * slack
+            alive, partial = alive[stay], partial[stay]
+        return np.union1d(alive, first[exact <= bound])
 
     def scores(self, rows: np.ndarray, query: np.ndarray) -> np.ndarray:
         """Cosine of the original vectors in double precision."""
@@ -190,7 +187,7 @@ def _scan(rotation: np.ndarray, keep: int):
                 scan = ColumnScan(np.stack(vectors), rotation)
             query = np.frombuffer(raw, np.float64)
             unit = _unit(query[None])[0]
-            rows = scan.nearest(unit, (unit @ rotation).astype(np.float32), keep)
+            rows = scan.nearest((unit @ rotation).astype(np.float32), keep)
             scores = scan.scores(rows, query)
             best = sorted(zip((-scores).tolist(), (ids[r][0] for r in rows.tolist()), rows.tolist()))[:keep]
             for score, _, row in best:
