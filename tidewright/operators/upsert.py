@@ -148,26 +148,28 @@ def action_counts(merged: DataFrame) -> DataFrame:
     )
 
 
-def repeated_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys without NULLs that occur more than once; partial counts are combined before the shuffle."""
-    counted = source.filter(~_any_null(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
-    return counted.filter("copies > 1")
+def repeated_keys(source: DataFrame, keys: Sequence[str], null_safe: bool = False) -> DataFrame:
+    """Keys that occur more than once, those with NULLs only if NULLs are equal; partial counts are combined before the shuffle."""
+    able = source if null_safe else source.filter(~_any_null(keys))
+    return able.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
 
 
 class DuplicateSourceKey(ValueError):
     """A source key that matches the target occurs more than once."""
 
 
-def check_source(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> None:
+def check_source(target: DataFrame, source: DataFrame, keys: Sequence[str], null_safe: bool = False) -> None:
     """Refuse a batch in which several rows match one target row.
 
     Duplicates that match nothing are legal, both rows are inserted. The target is read only if the
-    batch repeats a key at all.
+    batch repeats a key at all. ``null_safe`` as in the merge: NULL keys then repeat and match like others.
     """
-    repeated = repeated_keys(source, keys)
+    repeated = repeated_keys(source, keys, null_safe)
     if repeated.isEmpty():
         return
-    clash = repeated.join(target.select(*keys), list(keys), "left_semi").limit(5).collect()
+    held = target.select(*[F.col(k).alias(f"_t_{k}") for k in keys])
+    tests = [F.col(k).eqNullSafe(_old(k)) if null_safe else F.col(k) == _old(k) for k in keys]
+    clash = repeated.join(held, reduce(lambda a, b: a & b, tests), "left_semi").limit(5).collect()
     if clash:
         raise DuplicateSourceKey(f"source rows match one target row more than once, e.g. {clash}")
 

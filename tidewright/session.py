@@ -51,10 +51,16 @@ def local_session(app: str = "tidewright", cores: str = "*", partitions: int = 8
     return spark
 
 
+class NoSharedFolder(RuntimeError):
+    """A cluster session that names no folder which driver and executors share."""
+
+
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a folder of our own only where none is named."""
+    """The shared folder the cluster names; a local session without one gets a folder of its own."""
     root = spark.conf.get(CHECKPOINT_CONF, None)
     if not root:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise NoSharedFolder(f"set {CHECKPOINT_CONF}: executors on other machines cannot read a local folder")
         root = tempfile.mkdtemp(prefix="tidewright-scratch-")
         spark.conf.set(CHECKPOINT_CONF, root)
         spark.sparkContext.setCheckpointDir(root)

@@ -1,7 +1,9 @@
 """Layer tables in the session catalog: snapshots under one root, switched by table location.
 
-A replaced table is written to a new folder first; the catalog location moves only after the write is
-complete. A job that dies in between leaves the old table untouched and can simply be run again.
+Data are written to a new folder first; the catalog moves only after the write is complete. A table or partition
+that exists is pointed to its new folder in one step (``SET LOCATION``); a partition is dropped only if it is left
+without rows, and last. So a job that dies at any point leaves every row in the old or the new folder, and the load
+can simply be run again. Superseded folders stay until ``superseded`` is asked for them and the caller deletes them.
 """
 
 from __future__ import annotations
@@ -11,7 +13,8 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
-from operator import add
+from operator import add, and_
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -22,9 +25,10 @@ from tidewright.operators.upsert import ACTION, check_source, merge_frame
 from tidewright.session import scratch_path
 from tidewright.sources.schema import plain_ddl
 
-# A staged batch is broadcast to its target only below both measured bounds.
+# A staged batch is broadcast to its target only below both measured bounds; the session may set others.
 SMALL_ROWS = 2_000_000
 SMALL_BYTES = 256 * 1024 * 1024
+SMALL_ROWS_CONF, SMALL_BYTES_CONF = "spark.tidewright.merge.smallRows", "spark.tidewright.merge.smallBytes"
 VALUE_BYTES = 16  # upper estimate of a fixed-width value or of the overhead of a text
 
 
@@ -36,11 +40,14 @@ class Staged:
     rows: int
     text_bytes: int
     newest: dt.datetime | None
+    path: str
 
     @property
     def small(self) -> bool:
         size = self.text_bytes + self.rows * VALUE_BYTES * len(self.frame.columns)
-        return self.rows <= SMALL_ROWS and size <= SMALL_BYTES
+        conf = self.frame.sparkSession.conf
+        rows, most = (int(conf.get(k, str(v))) for k, v in ((SMALL_ROWS_CONF, SMALL_ROWS), (SMALL_BYTES_CONF, SMALL_BYTES)))
+        return self.rows <= rows and size <= most
 
 
 @dataclass
@@ -83,9 +90,10 @@ class Store:
 
     def _write_parts(self, df: DataFrame, path: str, partition: str, metrics: Sequence[Column]) -> tuple[dict, set[str]]:
         """Files by partition value. The rebalance splits a value that outgrows a task and joins small ones."""
-        seen = Observation()
-        observed = df.observe(seen, F.count(F.lit(1)).alias("row_count_written"), *metrics).drop(ACTION)
-        observed.hint("rebalance", F.col(partition)).write.partitionBy(partition).parquet(path)
+        seen = Observation()  # above the shuffle: a map stage that runs again must not count twice
+        even = df.hint("rebalance", F.col(partition))
+        observed = even.observe(seen, F.count(F.lit(1)).alias("row_count_written"), *metrics).drop(ACTION)
+        observed.write.partitionBy(partition).parquet(path)
         counts = seen.get
         if not counts["row_count_written"]:
             return counts, set()
@@ -102,16 +110,29 @@ class Store:
         path = self._fresh_path(layer, table)
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}`")
         counts = self._write(df, path, metrics, sort)
-        layout = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.drop(ACTION).schema.fields)
-        held = self.exists(layer, table)
-        if held and self.read(layer, table).dtypes == df.drop(ACTION).dtypes:
+        if self.exists(layer, table) and self._same_layout(layer, table, df.drop(ACTION), None):
             self.spark.sql(f"ALTER TABLE {self.name(layer, table)} SET LOCATION '{path}'")
         else:
-            self.spark.sql(f"DROP TABLE IF EXISTS {self.name(layer, table)}")
-            self.spark.sql(f"CREATE TABLE {self.name(layer, table)} ({layout}) USING parquet LOCATION '{path}'")
+            self._register(layer, table, df.drop(ACTION), path)
         self.spark.catalog.refreshTable(self.name(layer, table))
         return counts
 
+    def _same_layout(self, layer: str, table: str, df: DataFrame, partition: str | None) -> bool:
+        held = [c.name for c in self.spark.catalog.listColumns(f"{layer}.{table}") if c.isPartition]
+        return self.read(layer, table).dtypes == df.dtypes and held == ([partition] if partition else [])
+
+    def _register(self, layer: str, table: str, df: DataFrame, path: str, partition: str | None = None, filled: bool = False) -> None:
+        """Table with a new layout: it stands complete under another name before the old one goes."""
+        fresh = f"{table}__fresh"
+        layout = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+        parts = f"PARTITIONED BY (`{partition}`)" if partition else ""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name(layer, fresh)}")
+        self.spark.sql(f"CREATE TABLE {self.name(layer, fresh)} ({layout}) USING parquet {parts} LOCATION '{path}'")
+        if filled:
+            self.spark.catalog.recoverPartitions(self.name(layer, fresh))
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name(layer, table)}")
+        self.spark.sql(f"ALTER TABLE {self.name(layer, fresh)} RENAME TO {self.name(layer, table)}")
+
     def reload_partitioned(
         self, layer: str, table: str, df: DataFrame, partition: str, metrics: Sequence[Column] = ()
     ) -> dict:
@@ -119,35 +140,53 @@ class Store:
         path = self._fresh_path(layer, table)
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}`")
         counts, filled = self._write_parts(df, path, partition, metrics)
-        layout = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.name(layer, table)}")
-        self.spark.sql(
-            f"CREATE TABLE {self.name(layer, table)} ({layout}) USING parquet "
-            f"PARTITIONED BY (`{partition}`) LOCATION '{path}'"
-        )
-        if filled:
-            self.spark.catalog.recoverPartitions(self.name(layer, table))
+        self._register(layer, table, df.drop(ACTION), path, partition, bool(filled))
+        self.spark.catalog.refreshTable(self.name(layer, table))
         return counts
 
     def replace_partitions(
         self, layer: str, table: str, df: DataFrame, partition: str, touched: Sequence[str], metrics: Sequence[Column] = ()
     ) -> dict:
-        """Only the touched partitions get a new folder; one left without rows is dropped.
+        """Only the touched partitions get a new folder (D7): the filled ones first, then those left empty are dropped.
 
-        The list of touched partition values is short by nature (months); rows never reach the driver.
+        The list of touched partition values is short by nature (months, key ranges); rows never reach the driver.
         """
         path = self._fresh_path(layer, table)
         counts, filled = self._write_parts(df, path, partition, metrics)
-        for value in touched:
-            spec = f"PARTITION ({partition}='{value}')"
-            self.spark.sql(f"ALTER TABLE {self.name(layer, table)} DROP IF EXISTS {spec}")
-            if value in filled:
-                self.spark.sql(
-                    f"ALTER TABLE {self.name(layer, table)} ADD {spec} LOCATION '{path}/{partition}={value}'"
-                )
-        self.spark.catalog.refreshTable(self.name(layer, table))
+        held = self.partitions(layer, table)
+        name = self.name(layer, table)
+        for value in sorted(filled):
+            spec, place = f"PARTITION ({partition}='{value}')", f"'{path}/{partition}={value}'"
+            change = f"{spec} SET LOCATION {place}" if value in held else f"ADD {spec} LOCATION {place}"
+            self.spark.sql(f"ALTER TABLE {name} {change}")
+        for value in sorted((set(touched) - filled) & held):
+            self.spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({partition}='{value}')")
+        self.spark.catalog.refreshTable(name)
         return counts
 
+    def partitions(self, layer: str, table: str) -> set[str]:
+        """Values of the one partition column, from the catalog."""
+        rows = self.spark.sql(f"SHOW PARTITIONS {self.name(layer, table)}").collect()
+        return {unquote(r[0].split("=", 1)[1]) for r in rows}
+
+    def superseded(self, layer: str, table: str) -> list[str]:
+        """Folders under the table's root that the catalog does not point to: what a retention job may delete."""
+        held = {self._location(f"DESCRIBE FORMATTED {self.name(layer, table)}")}
+        if any(c.isPartition for c in self.spark.catalog.listColumns(f"{layer}.{table}")):
+            column = next(c.name for c in self.spark.catalog.listColumns(f"{layer}.{table}") if c.isPartition)
+            for value in self.partitions(layer, table):
+                held.add(self._location(f"DESCRIBE FORMATTED {self.name(layer, table)} PARTITION ({column}='{value}')").rsplit("/", 1)[0])
+        jvm, top = self.spark._jvm, f"{self.root}/{layer}/{table}"
+        folder = jvm.org.apache.hadoop.fs.Path(top)
+        system = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        found = [str(f.getPath().getName()) for f in system.listStatus(folder)] if system.exists(folder) else []
+        names = {h.rsplit("/", 1)[-1] for h in held}
+        return sorted(f"{top}/{name}" for name in found if name not in names)
+
+    def _location(self, sql: str) -> str:
+        rows = [r for r in self.spark.sql(sql).collect() if r[0] == "Location"]
+        return rows[0][1].rstrip("/")
+
     def stage(self, batch: DataFrame, time_column: str | None, label: str) -> Staged:
         """The batch written to shared scratch; size and newest time are observed on the way (A4)."""
         path = scratch_path(self.spark, label)
@@ -164,7 +203,7 @@ class Store:
         observed.write.mode("errorifexists").parquet(path)
         counts = seen.get
         frame = self.spark.read.schema(batch.schema).parquet(path)
-        return Staged(frame, counts["rows"], counts["text_bytes"] or 0, counts["newest"])
+        return Staged(frame, counts["rows"], counts["text_bytes"] or 0, counts["newest"], path)
 
     def merge(
         self,
@@ -174,32 +213,44 @@ class Store:
         keys: Sequence[str],
         *,
         partition: str | None = None,
+        by_key: bool = False,
         **rules,
     ) -> dict:
         """Staged batch merged into a stored table; counts come from the write itself (M1-M8).
 
-        With ``partition`` only the partitions that hold a matched row, or receive one, are rewritten.
+        With ``partition`` only the partitions that hold a matched row, or receive one, are rewritten. ``by_key`` says
+        that the key decides the partition: then the batch alone tells which ones, and no other is read at all.
         """
         target = self.read(layer, table)
-        check_source(target, staged.frame, keys)
         small = staged.small
+        null_safe = rules.get("null_safe", False)
         metrics = [
             F.count_if(F.col(ACTION) == "insert").alias("inserted"),
             F.count_if(F.col(ACTION) == "update").alias("updated"),
         ]
         if partition is None:
+            check_source(target, staged.frame, keys, null_safe)
             merged = merge_frame(target, staged.frame, keys, small_source=small, **rules)
             counts = self.replace(layer, table, merged, metrics)
         else:
-            batch_keys = staged.frame.select(*keys)
-            hit = target.select(*keys, partition).join(F.broadcast(batch_keys) if small else batch_keys, list(keys), "left_semi")
-            values = hit.select(partition).union(staged.frame.select(partition)).distinct()
-            touched = [r[0] for r in values.collect()]
+            values = staged.frame.select(partition)
+            if not by_key:
+                batch_keys = staged.frame.select(*[F.col(k).alias(f"_{k}") for k in keys])
+                on = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) if null_safe else F.col(k) == F.col(f"_{k}") for k in keys])
+                hit = target.select(*keys, partition).join(F.broadcast(batch_keys) if small else batch_keys, on, "left_semi")
+                values = values.union(hit.select(partition))
+            touched = [r[0] for r in values.distinct().collect()]
             part = target.filter(F.col(partition).isin(touched)) if touched else target.limit(0)
+            check_source(part, staged.frame, keys, null_safe)
             merged = merge_frame(part, staged.frame, keys, small_source=small, **rules)
             counts = self.replace_partitions(layer, table, merged, partition, touched, metrics)
         return {**counts, "rows_changed": counts["inserted"] + counts["updated"]}
 
+    def discard(self, staged: Staged) -> None:
+        """Delete a staged batch once its load is complete."""
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(staged.path)
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+
     # ---- watermarks -------------------------------------------------------------------------------
 
     def marks(self, layer: str) -> DataFrame:
@@ -210,6 +261,11 @@ class Store:
     def mark(self, layer: str, table: str):
         return wm.last_mark(self.marks(layer), table, layer)
 
+    def counted(self, layer: str, table: str) -> int | None:
+        """Rows of the table after its last load, from the control table."""
+        row = self.marks(layer).filter((F.col("table_name") == table) & (F.col("layer_type") == layer)).select("row_count").first()
+        return row[0] if row else None
+
     def advance(self, layer: str, table: str, mark, load_ts, row_count, rows_changed) -> None:
         row = wm.mark_row(self.spark, table, layer, mark, load_ts, row_count, rows_changed)
         self.replace(layer, "water_mark", wm.record(self.marks(layer), row).coalesce(1))
