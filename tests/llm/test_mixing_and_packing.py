@@ -113,8 +113,12 @@ def test_packed_ids_are_those_of_the_tokenizer(awkward, no_docs, clashing):
 
 
 def test_runs_encode_like_whole_texts():
-    tokenizer, runs = Tokenizer.from_file(PATH), packing.Runs(PATH, limit=20)
-    texts = ["It's ΣΑΣ x　y <|endoftext|>a, é ́ don't!! 12,345", "a<|startoftext|> b\x0bc\x0cd", "", "ﬁ ǅ İ ß 東京"]
+    tokenizer, runs = Tokenizer.from_file(PATH), packing.Runs(PATH, limit=500)
+    texts = ["It's ΣΑΣ x　y <|endoftext|>a, é ́ don't!! 12,345", "a<|startoftext|> b\x0bc\x0cd", "", "ﬁ ǅ İ ß 東京", "IT'S it' it'' 'tis Word, WORD!! é.é Éa\u0301, na\u0308ive- don't? x's. a_b __ -- ...\u0301 ªº µm ŉ"]
+    rng = random.Random(1)
+    letters = "abzABZéÉßñÑİıſ" + "0٣²½" + "'!?.,-_$%&*<|>" + "\u0301\u00a0\u3000東Σς"
+    texts += [" ".join("".join(rng.choice(letters) for _ in range(rng.randint(1, 6))) for _ in range(300)) for _ in range(20)]
+    assert runs.apart
     for text, ids in zip(texts, runs.encode([t.encode() for t in texts])):
         assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 

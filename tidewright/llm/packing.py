@@ -14,7 +14,9 @@ single end id. A null doc_id is kept. Repeated rows are packed as often as they
 from __future__ import annotations
 
 import array
+import json
 import os
+import string
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -33,11 +35,19 @@ from tidewright.session import written
 SIZE = 2048
 END = 0
 KNOWN_RUNS = 400_000
+PUNCTUATION = string.punctuation.encode()
+LAST_LATIN = "\u02b0"
+#: How the tokenizer must cut for runs to be put together from words and punctuation (fixed value of its file).
+LETTERS_APART = r"[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _FIRST_RANK = 1 << 44
 
 
 class Runs:
-    """Ids of runs of non-space characters, as little-endian 32-bit integers; the table is emptied when it is full."""
+    """Ids of runs of non-space characters, as little-endian 32-bit integers; tables are emptied when they are full.
+
+    Where the tokenizer cuts letters from other characters and marks the ends of words, a run of Latin letters with
+    punctuation behind it is put together from both parts, and many words of letters are encoded as one text and told apart by those marks.
+    """
 
     def __init__(self, path: str, limit: int = KNOWN_RUNS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -45,6 +55,48 @@ class Runs:
 
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
         self.known: dict[bytes, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.tails: dict[bytes, bytes] = {b"": b""}
+        rules = self.tokenizer.to_str()
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.apart = bool(suffix) and json.dumps(LETTERS_APART)[1:-1] in rules and '"Lowercase"' in rules
+        if self.apart:
+            size = self.tokenizer.get_vocab_size()
+            self.ends = np.array([(self.tokenizer.id_to_token(i) or "").endswith(suffix) for i in range(size)])
+
+    def _plain(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [array.array("I", e.ids).tobytes() for e in found]
+
+    def _learn_words(self, words: list[str]) -> None:
+        groups = [words[i : i + 100] for i in range(0, len(words), 100)]
+        for group, raw in zip(groups, self._plain([" ".join(g) for g in groups])):
+            ids = np.frombuffer(raw, np.uint32)
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) == len(group) and cuts[-1] == len(ids):
+                self.words.update(zip(group, (x.tobytes() for x in np.split(ids, cuts[:-1]))))
+            else:
+                self.words.update(zip(group, self._plain(group)))
+
+    def _learn(self, fresh: list[bytes]) -> None:
+        whole, parts = [], []
+        for run in fresh:
+            word = run.rstrip(PUNCTUATION) if self.apart else b""
+            text = word.decode("utf-8", "replace").lower()
+            if text.isalpha() and max(text) < LAST_LATIN and max(word.decode("utf-8", "replace")) < LAST_LATIN:
+                parts.append((run, text, run[len(word) :]))
+            else:
+                whole.append(run)
+        for i in range(0, len(whole), 10_000):
+            self.known.update(zip(whole[i : i + 10_000], self._plain([r.decode("utf-8", "replace") for r in whole[i : i + 10_000]])))
+        if len(self.words) > self.limit:
+            self.words.clear()
+        if len(self.tails) > self.limit // 4:
+            self.tails = {b"": b""}
+        self._learn_words(list({w for _, w, _ in parts if w not in self.words}))
+        tails = list({t for _, _, t in parts if t not in self.tails})
+        self.tails.update(zip(tails, self._plain([t.decode() for t in tails])))
+        self.known.update((run, self.words[word] + self.tails[tail]) for run, word, tail in parts)
 
     def encode(self, texts: list[bytes]) -> Iterator[bytes]:
         for lo, hi in c.chunks(texts):
@@ -53,10 +105,7 @@ class Runs:
             if len(self.known) + len(fresh) > self.limit:
                 self.known.clear()
                 fresh = list(set().union(*split))
-            for i in range(0, len(fresh), 10_000):
-                part = fresh[i : i + 10_000]
-                found = self.tokenizer.encode_batch_fast([r.decode("utf-8", "replace") for r in part], add_special_tokens=False)
-                self.known.update((r, array.array("I", e.ids).tobytes()) for r, e in zip(part, found))
+            self._learn(fresh)
             ids = self.known.__getitem__
             for runs in split:
                 yield b"".join(map(ids, runs))
