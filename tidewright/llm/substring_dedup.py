@@ -16,6 +16,7 @@ rows get the same result. An empty table gives no rows. Other columns are carrie
 
 from __future__ import annotations
 
+import array
 import hashlib
 from collections.abc import Iterator
 
@@ -27,12 +28,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewright.llm import common as c
+from tidewright.session import written
 
 WINDOW = 50
 MINIMISER = 4
-BUCKET_BYTES = 12 << 20  # of packed strings, before compression
-FLUSH_BYTES = 48 << 20
+BUCKET_BYTES = 8 << 20  # of packed strings, before compression
+FLUSH_BYTES = 32 << 20
 PASS_WORDS = 4_000_000  # a bucket with more words is sorted in several passes over ranges of fingerprints
+SMALL_RANGES = 2_000_000  # ranges of 8 bytes that may be broadcast with their documents' keys; beyond, the join is shuffled
 LAST = (1 << 63) - 1  # stands for a null doc_id
 
 
@@ -168,16 +171,16 @@ _ANSWER_ARROW = pa.schema([("kmer", pa.binary()), ("least", pa.binary())])
 
 def _answers(entries: dict[bytes, list[int]], window: int, pass_words: int) -> Iterator[pa.RecordBatch]:
     numbers: dict[bytes, int] = {}
-    words: list[int] = []
+    words = array.array("q")
     sizes: list[int] = []
     for packed in entries:
         own = [numbers.setdefault(w, len(numbers)) for w in packed.split()]
-        words += own
+        words.extend(own)
         sizes.append(len(own))
     size = np.array(sizes, np.int64)
     bounds = np.array(list(entries.values()), np.int64)
     begins = np.concatenate(([0], np.cumsum(size)[:-1]))
-    least = _least_holder(np.array(words, np.int64), begins, size, bounds[:, 0], window, pass_words)
+    least = _least_holder(np.frombuffer(words, np.int64), begins, size, bounds[:, 0], window, pass_words)
     high = np.repeat(bounds[:, 1], size)
     asked = np.maximum.reduceat((least < high).astype(np.int8), begins).astype(bool)
     kmers, found = [], []
@@ -263,7 +266,7 @@ def _cut(window: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts, removed, kept = [], [], []
-            for raw, ranges in zip(c.as_bytes(batch.column("text")), batch.column("ranges").to_pylist()):
+            for raw, ranges in zip(c.as_bytes(batch.column("text")), batch.column("_ranges").to_pylist()):
                 words = raw.split()
                 counts.append(len(words))
                 if ranges:
@@ -276,7 +279,7 @@ def _cut(window: int):
                 removed.append(counts[-1] - len(words))
                 kept.append(b" ".join(words).decode("utf-8", "replace"))
             extra = [pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())]
-            own = [n for n in batch.schema.names if n not in ("text", "ranges")]
+            own = [n for n in batch.schema.names if n not in ("text", "_ranges")]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in own), *extra], names=[*own, "n_words", "n_removed", "kept_text"])
 
     return cut
@@ -289,22 +292,25 @@ def least_holders(docs: DataFrame, window: int = WINDOW, minimiser: int = MINIMI
     # a super-k-mer carries about window - 1 words besides the (window - minimiser) / 2 that are its own
     packed = volume * (1 + 2 * window / max(1, window - minimiser))
     buckets = c.tasks_for(docs.sparkSession, int(packed), BUCKET_BYTES)
-    blobs = docs.select("doc_id", "text").mapInArrow(_deal(window, minimiser, buckets), _BLOB)
+    blobs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_deal(window, minimiser, buckets), _BLOB)
     met = blobs.repartition(buckets, "bucket").sortWithinPartitions("bucket")
     return met.mapInArrow(_count(window, pass_words), _ANSWER)
 
 
 def without_repeats(docs: DataFrame, window: int = WINDOW, minimiser: int = MINIMISER, pass_words: int = PASS_WORDS) -> DataFrame:
     """Every row of `docs` without its text, plus n_words, n_removed and kept_text (kept words joined by one space)."""
-    own = [x for x in docs.columns if x not in ("n_words", "n_removed", "kept_text", "print", "ranges")]
-    rows = docs.select(*[f"`{x}`" for x in own], F.xxhash64("text").alias("print"))
-    places = rows.select("doc_id", "print", "text").mapInArrow(_places(window, minimiser), _PLACE).distinct()
+    own = c.others(docs, "n_words", "n_removed", "kept_text")
+    rows = docs.select(*own, F.xxhash64("text").alias("_print"))
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("print"), "text")
+    places = slim.mapInArrow(_places(window, minimiser), _PLACE).distinct()
     found = places.join(least_holders(docs, window, minimiser, pass_words), "kmer")
     ranges = found.select("doc_id", "print", "start", "least").mapInArrow(_ranges, _RANGE)
-    grouped = ranges.groupBy("doc_id", "print").agg(F.collect_list(F.struct("first", "windows")).alias("ranges"))
-    keys = rows["doc_id"].eqNullSafe(grouped["doc_id"]) & (rows["print"] == grouped["print"])
-    marked = rows.join(grouped, keys, "left").select(*[rows[f"`{x}`"] for x in own], grouped["ranges"])
-    rest = [f for f in docs.schema.fields if f.name in own and f.name != "text"]
+    grouped = written(ranges.groupBy("doc_id", "print").agg(F.collect_list(F.struct("first", "windows")).alias("_ranges")), "ranges")
+    count = grouped.agg(F.coalesce(F.sum(F.size("_ranges")), F.lit(0))).first()[0]
+    side = grouped.select(F.col("doc_id").alias("_id"), F.col("print").alias("_its_print"), "_ranges")
+    keys = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_print") == F.col("_its_print"))
+    marked = rows.join(F.broadcast(side) if count <= SMALL_RANGES else side, keys, "left").select(*own, "_ranges")
+    rest = [f for f in docs.schema.fields if f"`{f.name}`" in own and f.name != "text"]
     schema = T.StructType(
         [*rest, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_text", T.StringType())]
     )
