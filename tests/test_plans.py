@@ -60,8 +60,31 @@ def test_bands_equal_their_definition(spark):
     values = [1, 1, 1, 2, 3, 3, 10, 50, 50, 1000]
     frame = spark.createDataFrame([(v,) for v in values], "v int")
     expected = sorted({(v, max(-(-sum(x <= v for x in values) * 5 // len(values)), 1)) for v in values}, key=str)
-    assert rows_of(reports._bands(frame, "v", "band", 5)) == expected
+    cuts = reports._band_cuts(frame, "v", 5).first()[0]
+    bands = [(v, 1 + sum(cut is None or cut < v for cut in cuts)) for v in sorted(set(values))]
+    assert sorted(bands, key=str) == expected
 
 
 def test_company_fixture_is_complete(spark):
     assert all(df.count() >= 1 for df in company(spark).values())
+
+
+def test_roll_up_reaches_the_root_and_refuses_cycles(spark):
+    chain = spark.createDataFrame([(i, i - 1 if i > 1 else None) for i in range(1, 7)], "account_key int, parent_id int")
+    totals = spark.createDataFrame([(6, 10)], "account_key int, amount int")
+    assert rows_of(reports.account_rollup(chain, totals), "account_key", "rolled_amount") == [(i, 10) for i in range(1, 7)]
+    ring = spark.createDataFrame([(1, 2), (2, 3), (3, 1)], "account_key int, parent_id int")
+    with pytest.raises(reports.HierarchyCycle):
+        reports.account_rollup(ring, totals)
+
+
+def test_a_refresh_reads_only_the_touched_months(spark, tmp_path):
+    sales = spark.createDataFrame(
+        [(20240100 + d, 1, 1, 1, 1, 1, "2024-01") for d in (1, 2)] + [(20240201, 1, 1, 1, 1, 1, "2024-02")],
+        "order_date_key int, product_key int, sales_territory_key int, sales_amount int, gross_margin int, order_quantity int, month_part string",
+    )
+    sales.write.partitionBy("month_part").parquet(f"{tmp_path}/sales")
+    stored = spark.read.parquet(f"{tmp_path}/sales")
+    fresh = reports.refreshed_metrics(reports.monthly_metrics(stored), stored, stored.filter("order_date_key = 20240201"))
+    assert rows_of(fresh, "year_month", "lines") == [("2024-01", 2), ("2024-02", 1)]
+    assert "PartitionFilters: [isnotnull(month_part" in fresh._jdf.queryExecution().toString()

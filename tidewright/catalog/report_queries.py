@@ -13,6 +13,7 @@ from tidewright.catalog.standins import LOAD_TS, MARK, Tables, sql
 from tidewright.operators import quality
 from tidewright.operators import watermark as wm
 from tidewright.plans import reports
+from tidewright.session import written
 
 _MONTH = "printf('%04d-%02d', {0} // 10000, {0} % 10000 // 100)"
 _SALES = {"s": en.FULL_SALES, "f": st.FACT_SALES.format("s")}
@@ -238,20 +239,38 @@ def r12_survey_ratings(spark, sf):
     return reports.survey_ratings(st.fact_survey(spark, sf), ["recommendation", "purchase_channel"])
 
 
+_ABOVE = """SELECT {key}, {key} AS root FROM {members}
+    UNION ALL SELECT up.{key}, m.{parent} FROM up JOIN {members} m ON m.{key} = up.root WHERE m.{parent} IS NOT NULL"""
+
+
 @query(
     "r13_account_rollup",
     _gl_sql(
         """SELECT root AS account_key, CAST(sum(amount) AS DOUBLE) AS rolled_amount, count(*) AS accounts
            FROM up JOIN (SELECT account_key, sum(amount) AS amount FROM f GROUP BY 1) USING (account_key) GROUP BY 1""",
-        up="""SELECT account_key, account_key AS root FROM x_dim_account
-            UNION ALL SELECT a.account_key, a.parent_id FROM x_dim_account a WHERE parent_id IS NOT NULL
-            UNION ALL SELECT a.account_key, b.parent_id FROM x_dim_account a JOIN x_dim_account b ON a.parent_id = b.account_key
-              WHERE b.parent_id IS NOT NULL""",
+        up=_ABOVE.format(key="account_key", parent="parent_id", members="x_dim_account"),
     ),
 )
 def r13_account_rollup(spark, sf):
     facts = st.fact_transaction(spark, sf).select("account_key", "amount")
-    return reports.account_rollup(Tables(spark, sf).dim_account(), facts, levels=3)
+    return reports.account_rollup(Tables(spark, sf).dim_account(), facts)
+
+
+@query(
+    "r13_class_rollup",
+    f"""WITH RECURSIVE members AS (SELECT c_custkey AS class_key, CASE WHEN c_custkey > 1 THEN c_custkey // 2 END AS parent_class_id FROM customer),
+       up AS ({_ABOVE.format(key="class_key", parent="parent_class_id", members="members")})
+       SELECT root AS class_key, sum(amount)::DOUBLE AS rolled_amount, count(*) AS classes
+       FROM up JOIN (SELECT o_custkey AS class_key, sum(o_totalprice::DECIMAL(18,2)) AS amount FROM orders GROUP BY 1) USING (class_key) GROUP BY 1""",
+)
+def r13_class_rollup(spark, sf):
+    """Orders added up along a hierarchy of customers that is as deep as the table is long."""
+    key = F.col("c_custkey")
+    members = table(spark, sf, "customer").select(
+        key.alias("class_key"), F.when(key > 1, F.floor(key / 2)).alias("parent_class_id")
+    )
+    totals = table(spark, sf, "orders").select(F.col("o_custkey").alias("class_key"), F.col("o_totalprice").cast("decimal(18,2)").alias("amount"))
+    return reports.account_rollup(members, totals, "class_key", "parent_class_id", "classes")
 
 
 _METRICS = f"""SELECT {_MONTH.format('order_date_key')} AS year_month, product_key, sales_territory_key,
@@ -274,7 +293,7 @@ def r14_monthly_metrics(spark, sf):
 )
 def r14_refreshed_metrics(spark, sf):
     """Only the months touched by sales after the mark are computed anew."""
-    facts = st.fact_sales(spark, sf)
+    facts = written(st.fact_sales(spark, sf), "fact-sales")
     stored = reports.monthly_metrics(facts).withColumn("sales_amount", F.lit(-1).cast("decimal(28,2)"))
     return reports.refreshed_metrics(stored, facts, facts.filter(F.col("modified_date") > F.lit(MARK)))
 

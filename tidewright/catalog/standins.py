@@ -571,4 +571,4 @@ def sql(body: str, *names: str, **extra: str) -> str:
     for n in wanted:
         parts.append(f"x_{n} AS ({SQL[n]})")
     parts += [f"{n} AS ({text})" for n, text in extra.items()]
-    return f"WITH {', '.join(parts)} {body}" if parts else body
+    return f"WITH RECURSIVE {', '.join(parts)} {body}" if parts else body

@@ -218,11 +218,12 @@ def g13_fact_budget(spark, sf):
 
 # events lie in 2024: the calendar of these two facts covers the event days
 _EVENT_DATE = """SELECT DISTINCT CAST(ts AS DATE) AS date, year(ts) * 10000 + month(ts) * 100 + day(ts) AS date_key
-    FROM events WHERE ts < TIMESTAMP '2024-01-25'"""
+    FROM events"""
 
 
-def event_dims(spark, sf):
-    return ChainMap({"dim_date": calendar(spark, dt.date(2024, 1, 1), dt.date(2024, 1, 24))}, dims(spark, sf))
+def event_dims(spark, sf, last=dt.date(2024, 12, 31)):
+    """Dimensions with a calendar over all event days."""
+    return ChainMap({"dim_date": calendar(spark, dt.date(2024, 1, 1), last)}, dims(spark, sf))
 
 
 def fact_opportunity(spark, sf):
@@ -278,8 +279,8 @@ def j9_date_key_whole_days(spark, sf):
     times = table(spark, sf, "events").select(F.col("event_id").alias("survey_id"), F.col("ts").alias("survey_date"))
     timed = answers.join(times, "survey_id")
     keys = ["survey_key", "survey_date_key"]
-    cut = fact_load("fact_survey", timed, event_dims(spark, sf), whole_days=True).select(*keys)
-    exact = fact_load("fact_survey", timed, event_dims(spark, sf)).select(*keys)
+    cut = fact_load("fact_survey", timed, event_dims(spark, sf, dt.date(2024, 1, 24)), whole_days=True).select(*keys)
+    exact = fact_load("fact_survey", timed, event_dims(spark, sf, dt.date(2024, 1, 24))).select(*keys)
     return cut.withColumnRenamed("survey_date_key", "whole_day_key").join(
         exact.withColumnRenamed("survey_date_key", "exact_key"), "survey_key"
     )
@@ -299,7 +300,7 @@ def j9_date_key_whole_days(spark, sf):
         "dim_customer",
         crm=en.CRM,
         o=en.OPPORTUNITY,
-        event_date=_EVENT_DATE.replace("2024-01-25", "2025-01-01"),
+        event_date=_EVENT_DATE,
     ),
 )
 def g14_relookup_late_keys(spark, sf):

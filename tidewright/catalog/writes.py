@@ -7,11 +7,10 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tidewright.catalog.registry import query, table
-from tidewright.catalog.standins import FIRST_DAY, LAST_DAY, LOAD_TS, MARK, cents, sql
+from tidewright.catalog.standins import LOAD_TS, MARK, cents, sql
 from tidewright.functions import scalars as fx
 from tidewright.operators import upsert as up
 from tidewright.operators import watermark as wm
-from tidewright.operators.calendar import calendar, refreshed_calendar
 from tidewright.session import written
 from tidewright.sources.landing import newer_rows
 
@@ -142,24 +141,16 @@ def m5_truncate_reload(spark, sf):
 
 @query(
     "m6_range_replace",
-    sql(
-        """SELECT strftime(date, '%Y') AS year, count(*) AS days, count(DISTINCT date) AS distinct_days,
-            min(date_key) AS first_key, max(date_key) AS last_key FROM x_dim_date GROUP BY 1""",
-        "dim_date",
-    ),
+    """SELECT o_orderkey, o_orderdate,
+            CASE WHEN o_orderdate BETWEEN DATE '1996-03-01' AND DATE '1997-02-28' THEN 0 ELSE o_custkey END AS o_custkey
+       FROM orders WHERE NOT (o_orderdate BETWEEN DATE '1996-03-01' AND DATE '1997-02-28' AND o_orderkey % 3 = 0)""",
 )
 def m6_range_replace(spark, sf):
-    """The calendar with one year generated anew, checked by year against the order dates' range."""
-    current = calendar(spark, FIRST_DAY, LAST_DAY)
-    fresh = refreshed_calendar(current, dt.date(1998, 1, 1), dt.date(1998, 12, 31))
-    orders = table(spark, sf, "orders").agg(F.max("o_orderdate").alias("newest"))
-    known = fresh.join(F.broadcast(orders), F.year("date") <= F.year("newest"))  # one row by construction
-    return known.groupBy(F.col("year").cast("string").alias("year")).agg(
-        F.count(F.lit(1)).alias("days"),
-        F.countDistinct("date").alias("distinct_days"),
-        F.min("date_key").alias("first_key"),
-        F.max("date_key").alias("last_key"),
-    )
+    """A year of orders replaced by other rows; all days outside the range are kept."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_custkey")
+    first, last = dt.date(1996, 3, 1), dt.date(1997, 2, 28)
+    fresh = orders.filter(F.col("o_orderdate").between(F.lit(first), F.lit(last)) & (F.col("o_orderkey") % 3 != 0))
+    return up.replace_range(orders, fresh.withColumn("o_custkey", F.lit(0).cast("bigint")), "o_orderdate", first, last)
 
 
 @query(

@@ -64,8 +64,13 @@ def row_hash(*parts: Column) -> Column:
     return F.md5(F.concat_ws(HASH_SEPARATOR, *filled))
 
 
-def tail_int(text: Column, length: int = 4) -> Column:
-    """Integer held in the last characters; bad text is an error under ANSI mode."""
+def tail_int(text: Column, length: int | None = 4) -> Column:
+    """Integer held in the last characters; bad text is an error under ANSI mode.
+
+    Without a length all digits at the end count, so that numbers of five and more digits keep theirs.
+    """
+    if length is None:
+        return F.regexp_extract(F.rtrim(text), r"([0-9]+)$", 1).try_cast("int")
     return F.right(text, F.lit(length)).cast("int")
 
 

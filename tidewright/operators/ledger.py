@@ -118,6 +118,26 @@ def ledger_full(
     )
 
 
+BALANCE_COLUMNS = ["held_product", "held_location", "last_balance"]
+
+
+def current_balances(ledger: DataFrame, before: DataFrame | None = None) -> DataFrame:
+    """Per product and location the newest day, change and balance: of ``ledger`` and of the table as it was ``before``."""
+    at = F.struct("transaction_date", "modified_date", "unit_balance")
+    rows = ledger.select(F.col("product_id").alias("held_product"), F.col("location_id").alias("held_location"), at.alias("at"))
+    if before is not None:
+        old = F.struct(F.col("last_day").alias("transaction_date"), F.col("last_change").alias("modified_date"), F.col("last_balance").alias("unit_balance"))
+        rows = rows.unionByName(before.select("held_product", "held_location", old.alias("at")))
+    newest = rows.groupBy("held_product", "held_location").agg(F.max("at").alias("at"))
+    return newest.select(
+        "held_product",
+        "held_location",
+        F.col("at.transaction_date").alias("last_day"),
+        F.col("at.modified_date").alias("last_change"),
+        F.col("at.unit_balance").alias("last_balance"),
+    )
+
+
 def last_balances(ledger: DataFrame) -> DataFrame:
     """Latest stored balance per product and location (W2), as an aggregate."""
     return ledger.groupBy(F.col("product_id").alias("held_product"), F.col("location_id").alias("held_location")).agg(
@@ -135,14 +155,17 @@ def ledger_increment(
     *,
     attribution: str = "per_pair",
     same_day: str = "replace",
+    balances: DataFrame | None = None,
 ) -> DataFrame:
     """New ledger rows, ready to be merged by product, location and day.
 
     New movements continue from the last stored balance, else from the counted stock of a location seen
     for the first time (U1, J8); such a location without movements gets one opening row at the snapshot
     time. A day that is already stored is replaced by its new movements alone, unless ``same_day='add'``
-    adds the stored units. Movements dated before the mark's day are left out; ``ledger_rebuilt`` takes
-    them in.
+    adds the stored units. Movements dated before the mark's day are left out; ``ledger_rebuilt`` and
+    ``ledger_batch`` take them in.
+
+    ``balances`` is the table of current balances (``current_balances``): with it no stored ledger row is read.
     """
     if same_day not in ("replace", "add"):
         raise ValueError(f"unknown same_day: {same_day}")
@@ -150,7 +173,7 @@ def ledger_increment(
     fresh = movements.filter(newer_than(F.col("ModifiedDate"), mark)).filter(F.col("TransactionDate") >= F.lit(mark_day))
     series = with_running(daily_movements(fresh, rounded=True))
 
-    known = last_balances(ledger)
+    known = last_balances(ledger) if balances is None else balances.select(*BALANCE_COLUMNS, F.lit(True).alias("held"))
     location_type = ledger.schema["location_id"].dataType  # the stored ledger may hold location ids as text
     places = stock.select(
         F.col("ProductID").alias("stocked_product"),
@@ -216,9 +239,40 @@ def ledger_increment(
     return moved.unionByName(idle)
 
 
-def ledger_merged(ledger: DataFrame, increment: DataFrame) -> DataFrame:
-    """The stored ledger with the increment merged in; the key may hold NULL locations, which never match."""
-    return merged_rows(merge_frame(ledger, increment, LEDGER_KEYS))
+def ledger_merged(ledger: DataFrame, increment: DataFrame, month: str | None = None) -> DataFrame:
+    """The stored ledger with the increment merged in; the key may hold NULL locations, which never match.
+
+    With ``month``, the column by which the ledger is stored, only the months of the increment are merged and all
+    others are passed on as they are: the day is part of the key, so no other month can match.
+    """
+    if month is None:
+        return merged_rows(merge_frame(ledger, increment, LEDGER_KEYS))
+    months = [r[0] for r in increment.select(month).distinct().collect()]  # months, not rows
+    inside = F.coalesce(F.col(month).isin(months), F.lit(False)) if months else F.lit(False)
+    return merged_rows(merge_frame(ledger.filter(inside), increment, LEDGER_KEYS)).unionByName(ledger.filter(~inside))
+
+
+def ledger_batch(
+    stock: DataFrame, movements: DataFrame, ledger: DataFrame, mark: dt.datetime, load_ts: dt.datetime, *,
+    attribution: str = "per_pair", anchor: str = "snapshot_day", balances: DataFrame | None = None,
+) -> DataFrame:
+    """Complete rows for a merge: products whose new movements are dated on or before the mark's day are computed anew
+    from all their movements, the others go on from their last balance. Repeating it changes nothing."""
+    day_after = dt.datetime.combine(mark.date() + dt.timedelta(days=1), dt.time())
+    fresh = movements.filter(newer_than(F.col("ModifiedDate"), mark))
+    late = fresh.filter(F.col("TransactionDate") < F.lit(day_after)).select(F.col("ProductID").alias("late_product")).distinct()
+
+    def split(df: DataFrame, product: str, how: str) -> DataFrame:
+        return df.join(late, F.col(product) == F.col("late_product"), how)
+
+    again = split(ledger_full(split(stock, "ProductID", "left_semi"), split(movements, "ProductID", "left_semi"),
+                              attribution=attribution, anchor=anchor), "product_id", "left_semi")
+    onward = ledger_increment(
+        split(stock, "ProductID", "left_anti"), split(movements, "ProductID", "left_anti"), ledger, mark, load_ts,
+        attribution=attribution, balances=balances,
+    )
+    types = {f.name: f.dataType for f in ledger.schema.fields}
+    return onward.select(*COLUMNS).unionByName(again.select(*[F.col(c).cast(types[c]).alias(c) for c in COLUMNS]))
 
 
 def ledger_rebuilt(

@@ -1,4 +1,7 @@
-"""One row per group (W1, W2, D6) as aggregates: combined map-side, no sort, no row_number window."""
+"""One row per group (W1, W2, D6) as aggregates, combined map-side: a row_number window would shuffle every row.
+
+A struct buffer makes Spark sort each task's rows by key on both sides of the shuffle; what is shuffled stays one row per key and task.
+"""
 
 from __future__ import annotations
 

@@ -114,14 +114,17 @@ def first_address(raw: Raw) -> DataFrame:
     return links.join(lines, "AddressID", "left").select(F.col("BusinessEntityID").alias("address_entity"), "address")
 
 
-def conform_customer(raw: Raw, mark: dt.datetime | None = None, dedupe: bool = False) -> DataFrame:
+def conform_customer(
+    raw: Raw, mark: dt.datetime | None = None, dedupe: bool = False, lead_digits: int | None = 4
+) -> DataFrame:
     """Customer with name, contact, first address and lead flag.
 
     Several e-mails, phones or leads of one customer give several rows unless ``dedupe`` picks the first
-    of each.
+    of each. A lead belongs to the customer numbered by the last ``lead_digits`` characters of its id; None takes
+    all digits at its end.
     """
     customers = since(raw["customer"], mark).filter(F.col("CustomerID").isNotNull())
-    leads = raw["leads"].select("lead_id", tail_int(F.col("lead_id")).alias("lead_customer"))
+    leads = raw["leads"].select("lead_id", tail_int(F.col("lead_id"), lead_digits).alias("lead_customer"))
     people = raw["person"].select(
         F.col("BusinessEntityID").alias("person_entity"), "FirstName", "LastName", "BirthDate", "Gender"
     )

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -150,45 +152,38 @@ def customer_value(sales: DataFrame) -> DataFrame:
     )
 
 
-def _bands(values: DataFrame, column: str, name: str, bands: int) -> DataFrame:
-    """Band 1 (lowest) to ``bands`` of every distinct value, by its share of the rows at or below it.
+def _band_cuts(values: DataFrame, column: str, bands: int) -> DataFrame:
+    """One row: for each band but the last, the largest value whose share of rows at or below it stays within the band.
 
-    Equal values share a band, unlike ``ntile``, which would also need every row in one sorted task. The
-    distinct values are cut into ranges; the rows before a range give each of its values its place, so no
-    task ever holds more than a range.
+    Exact, yet without a task that holds all values: distinct values are counted and cut into ranges; the rows before a range
+    place each of its values. Range sums are one row per range.
     """
-    counted = values.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    return _cumulative(counted, column).select(
-        F.col(column).alias(f"_{name}_value"),
-        F.greatest(F.ceil(F.col("upto") * bands / F.col("total")), F.lit(1)).cast("int").alias(name),
-    )
-
-
-def _cumulative(counted: DataFrame, column: str) -> DataFrame:
-    """``upto`` = rows at or below each value, ``total`` = all rows, without a global window.
-
-    Approximate percentiles only choose where the value ranges are cut, so that they are even; the counts
-    per range and inside each range are exact. Range sums are few and ordered in one small window.
-    """
-    shares = [i / RANGES for i in range(1, RANGES)]
-    cuts = counted.agg(
-        F.percentile_approx(column, shares, 10_000).alias("cuts"), F.sum("n").alias("total")
-    )
-    ranged = counted.join(F.broadcast(cuts)).withColumn(  # one row by construction
-        "range", F.size(F.filter("cuts", lambda cut: cut < F.col(column)))
-    )
-    sums = ranged.groupBy("range").agg(F.sum("n").alias("range_rows"))
+    counted = values.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    ranged = written(counted.repartitionByRange("value").withColumn("range", F.spark_partition_id()), f"ranges-{column}")
     order = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    before = sums.select("range", F.coalesce(F.sum("range_rows").over(order), F.lit(0)).alias("rows_before"))
-    inside = Window.partitionBy("range").orderBy(column).rowsBetween(Window.unboundedPreceding, 0)
-    return ranged.join(before, "range").withColumn("upto", F.col("rows_before") + F.sum("n").over(inside))
+    sums = ranged.groupBy("range").agg(F.sum("n").alias("rows"))
+    before = sums.select("range", F.coalesce(F.sum("rows").over(order), F.lit(0)).alias("before"))
+    inside = Window.partitionBy("range").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    total = values.agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col(column).isNull()).alias("missing"))
+    placed = ranged.join(F.broadcast(before), "range").crossJoin(F.broadcast(total))  # one row by construction
+    upto = F.col("missing") + F.col("before") + F.sum("n").over(inside)
+    band = F.greatest(F.ceil(upto * bands / F.col("total")), F.lit(1))
+    cuts = [F.max(F.when(F.col("band") <= b, F.col("value"))) for b in range(1, bands)]
+    return placed.select("value", band.alias("band")).agg(F.array(*cuts).alias(f"_{column}_cuts"))
 
 
-RANGES = 128
+def _band(column: str) -> Column:
+    value = F.col(column)
+    above = F.filter(F.col(f"_{column}_cuts"), lambda cut: cut.isNull() | (cut < value))
+    return F.when(value.isNotNull(), (F.size(above) + 1).cast("int"))
 
 
 def customer_segments(sales: DataFrame, as_of: dt.date, bands: int = 5) -> DataFrame:
-    """Recency, frequency and monetary bands per customer (R9); 1 is the weakest band."""
+    """Recency, frequency and monetary bands per customer (R9); 1 is the weakest band.
+
+    Equal values share a band, unlike ``ntile``, which would also need every row in one sorted task. A customer's band is the
+    number of cut values below its own: ``bands - 1`` values per measure are broadcast, and no customers are joined.
+    """
     day = F.to_date(F.col("last_order_key").cast("string"), "yyyyMMdd")
     base = (
         customer_value(sales)
@@ -200,11 +195,11 @@ def customer_segments(sales: DataFrame, as_of: dt.date, bands: int = 5) -> DataF
             F.col("sales_amount").alias("monetary"),
         )
     )
-    # one row per customer, read seven times below: written once instead of summed up seven times
+    # one row per customer, read by each measure and once more: written once instead of summed up each time
     scored = written(base.withColumn("recency_rank", -F.col("recency_days")), "customer-value")
     for column, name in (("recency_rank", "r"), ("frequency", "f"), ("monetary", "m")):
-        band = _bands(scored.select(column), column, f"{name}_band", bands)
-        scored = scored.join(band, F.col(column) == F.col(f"_{name}_band_value"), "left").drop(f"_{name}_band_value")
+        cuts = F.broadcast(_band_cuts(scored, column, bands))  # one row by construction
+        scored = scored.crossJoin(cuts).withColumn(f"{name}_band", _band(column)).drop(f"_{column}_cuts")
     return scored.drop("recency_rank")
 
 
@@ -233,27 +228,39 @@ def product_affinity(sales: DataFrame, products: DataFrame, label: str) -> DataF
     return pairs.groupBy("left_item", "right_item").agg(_sum("orders"))
 
 
-def account_rollup(accounts: DataFrame, totals: DataFrame, levels: int) -> DataFrame:
-    """Account totals added up along ``parent_id`` (R13): ``levels`` joins over the chart of accounts.
+class HierarchyCycle(ValueError):
+    """A member of a hierarchy that is its own ancestor."""
 
-    ``totals`` has (account_key, amount). Every account passes its own amount to itself and to each
-    ancestor; the loop runs over levels of the hierarchy and never looks at rows.
+
+def ancestors(members: DataFrame, key: str, parent: str) -> DataFrame:
+    """(member, ancestor) for every member with itself and all above it, however deep the hierarchy is.
+
+    The loop runs over levels and ends when a level adds nothing; it never looks at rows on the driver.
     """
-    parents = accounts.select(F.col("account_key").alias("child_key"), "parent_id")
-    reach = accounts.select("account_key", F.col("account_key").alias("ancestor_key"), F.lit(0).alias("distance"))
+    parents = members.select(F.col(key).alias("child"), F.col(parent).alias("above")).filter("above IS NOT NULL")
+    reach = members.select(F.col(key).alias("member"), F.col(key).alias("ancestor"))
     paths = reach
-    for distance in range(1, levels):
-        reach = (
-            reach.join(parents, F.col("ancestor_key") == F.col("child_key"))
-            .filter(F.col("parent_id").isNotNull())
-            .select("account_key", F.col("parent_id").alias("ancestor_key"), F.lit(distance).alias("distance"))
-        )
+    while True:
+        climbed = reach.join(parents, F.col("ancestor") == F.col("child")).select("member", F.col("above").alias("ancestor"))
+        reach = written(climbed, "hierarchy")
+        if reach.isEmpty():
+            return paths
+        if not reach.filter("member = ancestor").isEmpty():
+            raise HierarchyCycle(f"a {key} is its own ancestor")
         paths = paths.unionByName(reach)
-    own = totals.groupBy("account_key").agg(_sum("amount"))
+
+
+def account_rollup(accounts: DataFrame, totals: DataFrame, key: str = "account_key", parent: str = "parent_id", count: str = "accounts") -> DataFrame:
+    """Totals added up along the hierarchy (R13): every member's amount counts for itself and each of its ancestors.
+
+    ``totals`` has (key, amount). With other column names the same serves the class hierarchy.
+    """
+    own = totals.groupBy(F.col(key).alias("member")).agg(_sum("amount"))
     return (
-        paths.join(own, "account_key")
-        .groupBy(F.col("ancestor_key").alias("account_key"))
-        .agg(_sum("amount", "rolled_amount"), F.count(F.lit(1)).alias("accounts"))
+        ancestors(accounts, key, parent)
+        .join(own, "member")
+        .groupBy(F.col("ancestor").alias(key))
+        .agg(_sum("amount", "rolled_amount"), F.count(F.lit(1)).alias(count))
     )
 
 
@@ -265,11 +272,19 @@ def monthly_metrics(sales: DataFrame) -> DataFrame:
 
 
 def refreshed_metrics(metrics: DataFrame, sales: DataFrame, changed: DataFrame) -> DataFrame:
-    """Metrics with only the months touched by ``changed`` sales computed anew."""
-    months = changed.select(month_of_key(F.col("order_date_key")).alias("year_month")).distinct()
-    keep = metrics.join(months, "year_month", "left_anti")
-    anew = monthly_metrics(
-        sales.withColumn("year_month", month_of_key(F.col("order_date_key"))).join(months, "year_month", "left_semi").drop("year_month")
-    )
-    return keep.unionByName(anew)
+    """Metrics with only the months touched by ``changed`` sales computed anew.
 
+    The months are few and reach the driver, so that the scan of the sales is cut to them: by partition where they are
+    stored by month, else by ranges of the date key that are pushed down.
+    """
+    touched = changed.select(month_of_key(F.col("order_date_key")).alias("year_month")).distinct().collect()
+    months = sorted(r[0] for r in touched if r[0] is not None)
+    if not months:
+        return metrics
+    if "month_part" in sales.columns:
+        part = sales.filter(F.col("month_part").isin(months))
+    else:
+        firsts = [int(m.replace("-", "")) * 100 for m in months]
+        part = sales.filter(reduce(or_, [F.col("order_date_key").between(f, f + 99) for f in firsts]))
+    keep = metrics.filter(~F.col("year_month").isin(months) | F.col("year_month").isNull())
+    return keep.unionByName(monthly_metrics(part))

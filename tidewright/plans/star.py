@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -155,10 +157,12 @@ def fact_load(
     mark: dt.datetime | None = None,
     *,
     whole_days: bool = False,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Fact rows with looked-up keys; ``mark`` keeps only rows newer than the watermark.
 
-    A date key is found only for a time at midnight; ``whole_days`` cuts the time of day first.
+    A date key is found only for a time at midnight; ``whole_days`` cuts the time of day first. ``keep`` names source
+    columns that are passed on.
     """
     fact = FACTS[name]
     lookups = fact.lookups
@@ -174,6 +178,7 @@ def fact_load(
         *[F.col(old).alias(f"kept_{new}") for new, old in fact.rename.items()],
         *sorted(asked),
         *fact.measures,
+        *keep,
         "modified_date",
     )
     found = star_lookup(slim, dimensions, lookups)
@@ -182,21 +187,25 @@ def fact_load(
         *[look.name for look in lookups],
         *fact.measures,
         "modified_date",
+        *keep,
     )
 
 
-def relookup(name: str, fact_rows: DataFrame, conformed: DataFrame, dimensions: Mapping[str, DataFrame]) -> DataFrame:
-    """Conformed rows whose stored fact misses a key, loaded again: repairs keys of late dimension rows.
+def late_rows(name: str, fact_rows: DataFrame, conformed: DataFrame) -> DataFrame:
+    """Conformed rows whose stored fact misses a key.
 
-    Only facts identified by renamed source ids can be traced back to their source rows.
+    Only facts identified by renamed source ids can be traced back to their source rows; of the others every
+    conformed row that has the id of a late dimension row would have to be loaded again.
     """
     fact = FACTS[name]
-    missing = None
-    for look in fact.lookups:
-        test = F.col(look.name).isNull()
-        missing = test if missing is None else missing | test
+    if not fact.rename:
+        raise ValueError(f"{name} keeps no source id")
+    missing = reduce(or_, [F.col(look.name).isNull() for look in fact.lookups])
     ids = fact_rows.filter(missing).select(*fact.rename).distinct()
     on = [ids[new].eqNullSafe(conformed[old]) for new, old in fact.rename.items()]
-    if not on:
-        raise ValueError(f"{name} keeps no source id")
-    return fact_load(name, conformed.join(ids, on, "left_semi"), dimensions)
+    return conformed.join(ids, on, "left_semi")
+
+
+def relookup(name: str, fact_rows: DataFrame, conformed: DataFrame, dimensions: Mapping[str, DataFrame]) -> DataFrame:
+    """Facts that miss a key, looked up again: repairs the keys of dimension rows that came late."""
+    return fact_load(name, late_rows(name, fact_rows, conformed), dimensions)

@@ -71,10 +71,15 @@ def full_extract(raw: DataFrame, table: RawTable) -> DataFrame:
 def incremental_extract(
     raw: DataFrame, table: RawTable, mark: dt.datetime | None, lookback: dt.timedelta = dt.timedelta(0)
 ) -> DataFrame:
-    """Typed sources are filtered before the cast, text sources after it."""
+    """Typed sources are filtered on the bare column; of text sources rows whose time cannot be read are kept as well."""
     if table.time_column is None:
         raise ValueError(f"{table.name} has no time column to extract by")
     kind = raw.schema[table.time_column].dataType
     if isinstance(kind, T.StringType):
-        return newer_rows(apply_schema(raw, table.schema), table.time_column, mark, lookback)
+        if mark is None:
+            return apply_schema(raw, table.schema)
+        # a time that is there but cannot be read keeps its row: it is counted, never dropped
+        time = F.try_to_timestamp(F.col(f"`{table.time_column}`"))
+        unread = F.col(f"`{table.time_column}`").isNotNull() & time.isNull()
+        return apply_schema(raw.filter(unread | (time > F.lit(mark - lookback))), table.schema)
     return apply_schema(newer_rows(raw, table.time_column, mark, lookback), table.schema)

@@ -2,8 +2,8 @@
 
 Data are written to a new folder first; the catalog moves only after the write is complete. A table or partition
 that exists is pointed to its new folder in one step (``SET LOCATION``); a partition is dropped only if it is left
-without rows, and last. So a job that dies at any point leaves every row in the old or the new folder, and the load
-can simply be run again. Superseded folders stay until ``superseded`` is asked for them and the caller deletes them.
+without rows, and last. So a job that dies at any point loses no row for good: what the batch does not hold stays, a row of
+the batch that moves to another partition comes back when the load is run again. Superseded folders stay until ``superseded`` is asked for them and the caller deletes them.
 """
 
 from __future__ import annotations
@@ -28,6 +28,7 @@ from tidewright.sources.schema import plain_ddl
 # A staged batch is broadcast to its target only below both measured bounds; the session may set others.
 SMALL_ROWS = 2_000_000
 SMALL_BYTES = 256 * 1024 * 1024
+KEY_PART = "key_part"  # a partition column that readers of a table do not see
 SMALL_ROWS_CONF, SMALL_BYTES_CONF = "spark.tidewright.merge.smallRows", "spark.tidewright.merge.smallBytes"
 VALUE_BYTES = 16  # upper estimate of a fixed-width value or of the overhead of a text
 
@@ -65,8 +66,15 @@ class Store:
         return self.spark.catalog.tableExists(f"{layer}.{table}")
 
     def read(self, layer: str, table: str) -> DataFrame:
+        return self.stored(layer, table).drop(KEY_PART)
+
+    def stored(self, layer: str, table: str) -> DataFrame:
+        """The table with the columns that it is cut by."""
         return self.spark.table(self.name(layer, table))
 
+    def partition_column(self, layer: str, table: str) -> str | None:
+        return next((c.name for c in self.spark.catalog.listColumns(f"{layer}.{table}") if c.isPartition), None)
+
     def create(self, layer: str, table: str, ddl: str, partition_by: Sequence[str] = ()) -> None:
         """Empty table with a fixed layout; an existing one is dropped."""
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}`")
@@ -88,11 +96,15 @@ class Store:
         observed.drop(ACTION).write.mode("errorifexists").parquet(path)
         return seen.get
 
-    def _write_parts(self, df: DataFrame, path: str, partition: str, metrics: Sequence[Column]) -> tuple[dict, set[str]]:
+    def _write_parts(
+        self, df: DataFrame, path: str, partition: str, metrics: Sequence[Column], sort: Sequence[str] = ()
+    ) -> tuple[dict, set[str]]:
         """Files by partition value. The rebalance splits a value that outgrows a task and joins small ones."""
         seen = Observation()  # above the shuffle: a map stage that runs again must not count twice
         even = df.hint("rebalance", F.col(partition))
         observed = even.observe(seen, F.count(F.lit(1)).alias("row_count_written"), *metrics).drop(ACTION)
+        if sort:
+            observed = observed.sortWithinPartitions(partition, *sort)
         observed.write.partitionBy(partition).parquet(path)
         counts = seen.get
         if not counts["row_count_written"]:
@@ -119,7 +131,7 @@ class Store:
 
     def _same_layout(self, layer: str, table: str, df: DataFrame, partition: str | None) -> bool:
         held = [c.name for c in self.spark.catalog.listColumns(f"{layer}.{table}") if c.isPartition]
-        return self.read(layer, table).dtypes == df.dtypes and held == ([partition] if partition else [])
+        return self.stored(layer, table).dtypes == df.dtypes and held == ([partition] if partition else [])
 
     def _register(self, layer: str, table: str, df: DataFrame, path: str, partition: str | None = None, filled: bool = False) -> None:
         """Table with a new layout: it stands complete under another name before the old one goes."""
@@ -134,12 +146,12 @@ class Store:
         self.spark.sql(f"ALTER TABLE {self.name(layer, fresh)} RENAME TO {self.name(layer, table)}")
 
     def reload_partitioned(
-        self, layer: str, table: str, df: DataFrame, partition: str, metrics: Sequence[Column] = ()
+        self, layer: str, table: str, df: DataFrame, partition: str, metrics: Sequence[Column] = (), sort: Sequence[str] = ()
     ) -> dict:
         """Whole table written anew in partitions (M5, D7); registered only when the files are complete."""
         path = self._fresh_path(layer, table)
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}`")
-        counts, filled = self._write_parts(df, path, partition, metrics)
+        counts, filled = self._write_parts(df, path, partition, metrics, sort)
         self._register(layer, table, df.drop(ACTION), path, partition, bool(filled))
         self.spark.catalog.refreshTable(self.name(layer, table))
         return counts
@@ -172,8 +184,7 @@ class Store:
     def superseded(self, layer: str, table: str) -> list[str]:
         """Folders under the table's root that the catalog does not point to: what a retention job may delete."""
         held = {self._location(f"DESCRIBE FORMATTED {self.name(layer, table)}")}
-        if any(c.isPartition for c in self.spark.catalog.listColumns(f"{layer}.{table}")):
-            column = next(c.name for c in self.spark.catalog.listColumns(f"{layer}.{table}") if c.isPartition)
+        if column := self.partition_column(layer, table):
             for value in self.partitions(layer, table):
                 held.add(self._location(f"DESCRIBE FORMATTED {self.name(layer, table)} PARTITION ({column}='{value}')").rsplit("/", 1)[0])
         jvm, top = self.spark._jvm, f"{self.root}/{layer}/{table}"
@@ -221,7 +232,7 @@ class Store:
         With ``partition`` only the partitions that hold a matched row, or receive one, are rewritten. ``by_key`` says
         that the key decides the partition: then the batch alone tells which ones, and no other is read at all.
         """
-        target = self.read(layer, table)
+        target = self.stored(layer, table)
         small = staged.small
         null_safe = rules.get("null_safe", False)
         metrics = [
