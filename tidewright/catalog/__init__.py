@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from tidewright.catalog import basics, entities, report_queries, stars, writes
+from tidewright.catalog import basics, entities, report_queries, stars, stored, writes
 from tidewright.catalog.registry import ORACLES, QUERIES, Query
 
 FLAGSHIP = "flagship_margin_by_brand"
-MODULES = (basics, writes, entities, stars, report_queries)
+MODULES = (basics, writes, entities, stars, report_queries, stored)
 
 
 def queries() -> dict[str, Query]:

@@ -53,17 +53,26 @@ class Staged:
 
 @dataclass
 class Store:
+    """Tables below one root; ``prefix`` goes before the names of the databases, one per layer."""
+
     spark: SparkSession
     root: str
+    prefix: str = ""
+
+    def _plain(self, layer: str, table: str) -> str:
+        return f"{self.prefix}{layer}.{table}"
+
+    def _database(self, layer: str) -> None:
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.prefix}{layer}`")
 
     def name(self, layer: str, table: str) -> str:
-        return f"`{layer}`.`{table}`"
+        return f"`{self.prefix}{layer}`.`{table}`"
 
     def _fresh_path(self, layer: str, table: str) -> str:
         return f"{self.root}/{layer}/{table}/{uuid.uuid4().hex}"
 
     def exists(self, layer: str, table: str) -> bool:
-        return self.spark.catalog.tableExists(f"{layer}.{table}")
+        return self.spark.catalog.tableExists(self._plain(layer, table))
 
     def read(self, layer: str, table: str) -> DataFrame:
         return self.stored(layer, table).drop(KEY_PART)
@@ -73,11 +82,11 @@ class Store:
         return self.spark.table(self.name(layer, table))
 
     def partition_column(self, layer: str, table: str) -> str | None:
-        return next((c.name for c in self.spark.catalog.listColumns(f"{layer}.{table}") if c.isPartition), None)
+        return next((c.name for c in self.spark.catalog.listColumns(self._plain(layer, table)) if c.isPartition), None)
 
     def create(self, layer: str, table: str, ddl: str, partition_by: Sequence[str] = ()) -> None:
         """Empty table with a fixed layout; an existing one is dropped."""
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}`")
+        self._database(layer)
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name(layer, table)}")
         parts = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
         self.spark.sql(
@@ -120,7 +129,7 @@ class Store:
         ``sort`` range-partitions the rows, so that min/max statistics let later scans skip files (O1).
         """
         path = self._fresh_path(layer, table)
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}`")
+        self._database(layer)
         counts = self._write(df, path, metrics, sort)
         if self.exists(layer, table) and self._same_layout(layer, table, df.drop(ACTION), None):
             self.spark.sql(f"ALTER TABLE {self.name(layer, table)} SET LOCATION '{path}'")
@@ -130,7 +139,7 @@ class Store:
         return counts
 
     def _same_layout(self, layer: str, table: str, df: DataFrame, partition: str | None) -> bool:
-        held = [c.name for c in self.spark.catalog.listColumns(f"{layer}.{table}") if c.isPartition]
+        held = [c.name for c in self.spark.catalog.listColumns(self._plain(layer, table)) if c.isPartition]
         return self.stored(layer, table).dtypes == df.dtypes and held == ([partition] if partition else [])
 
     def _register(self, layer: str, table: str, df: DataFrame, path: str, partition: str | None = None, filled: bool = False) -> None:
@@ -150,7 +159,7 @@ class Store:
     ) -> dict:
         """Whole table written anew in partitions (M5, D7); registered only when the files are complete."""
         path = self._fresh_path(layer, table)
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}`")
+        self._database(layer)
         counts, filled = self._write_parts(df, path, partition, metrics, sort)
         self._register(layer, table, df.drop(ACTION), path, partition, bool(filled))
         self.spark.catalog.refreshTable(self.name(layer, table))
