@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+NULL_SPREAD = 64
+
+
 @dataclass(frozen=True)
 class Lookup:
     """``fact.on`` is looked up in ``dimension.key``; the fact gets ``dimension.value`` under ``name``.
@@ -31,18 +34,24 @@ def star_lookup(fact: DataFrame, dimensions: Mapping[str, DataFrame], lookups: S
 
     No broadcast is forced: the dimensions grow with the business. Catalyst broadcasts those whose size
     is known to lie under ``spark.sql.autoBroadcastJoinThreshold``; the others are joined by a shuffle on
-    the key, where AQE splits a hot or NULL key of the fact side.
+    the key, where AQE splits a hot key of the fact side. NULL keys, often the largest group, match nothing: a second join
+    key spreads them over ``NULL_SPREAD`` places, so that they never meet in one task.
     """
+    whole = [F.col(f"`{c}`") for c in fact.columns]
     for look in lookups:
         value = look.value or look.key
         held = f"_{look.name}_key"
-        dim = dimensions[look.dimension].select(F.col(look.key).alias(held), F.col(value).alias(f"_{look.name}_value"))
+        kept, place = F.col(look.key), f"_{look.name}_place"
+        # of the key, not a constant: a constant would be folded out of the join keys
+        at = F.when(kept.isNull(), F.lit(1)).otherwise(F.lit(0)).alias(place)
+        dim = dimensions[look.dimension].select(kept.alias(held), F.col(value).alias(f"_{look.name}_value"), at)
         asked = F.col(look.on)
         if not look.exact_time:
             asked = F.to_date(asked)
         if look.cast:
             asked = asked.try_cast(look.cast)
-        fact = fact.join(dim, asked == F.col(held), "left")
+        spread = F.when(asked.isNull(), F.pmod(F.xxhash64(*whole), F.lit(NULL_SPREAD)).cast("int") + 2).otherwise(F.lit(0))
+        fact = fact.join(dim, (asked == F.col(held)) & (spread == F.col(place)), "left")
     names = {look.name for look in lookups}
     found = [F.col(f"_{look.name}_value").alias(look.name) for look in lookups]
     return fact.select(*[c for c in fact.columns if c not in names and not c.startswith("_")], *found)
