@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tidewright.catalog.registry import query, table
-from tidewright.catalog.standins import LOAD_TS, MARK, cents, sql
+from tidewright.catalog.standins import LOAD_TS, MARK, cents
 from tidewright.functions import scalars as fx
 from tidewright.operators import upsert as up
 from tidewright.operators import watermark as wm
