@@ -1,9 +1,10 @@
 from __future__ import annotations
 
 import hashlib
+import random
 from collections import defaultdict
 
-from tests.llm.conftest import DOCS, awkward_rows
+from tests.llm.conftest import DOCS, awkward_rows, words
 from tidewright.llm import exact_dedup, substring_dedup
 
 
@@ -92,6 +93,24 @@ def test_many_short_windows_in_several_passes(spark):
     assert cut(docs, window=6, minimiser=2, pass_words=50) == cut_by_hand(rows, 6)
 
 
+def test_no_window_reaches_into_the_next_row(spark):
+    rng = random.Random(8)
+    passage, tail = words(rng, 60), words(rng, 49)
+    rows = [
+        (1, " ".join(words(rng, 20) + passage), "en", "s", 1),
+        (2, " ".join(["opener", *words(rng, 80)]), "en", "s", 1),
+        (3, " ".join(words(rng, 15) + passage + ["opener"] + words(rng, 15)), "en", "s", 1),
+        (4, " ".join(words(rng, 30) + tail), "en", "s", 1),
+        (5, " ".join(["footer", *words(rng, 70)]), "en", "s", 1),
+        (6, " ".join(words(rng, 30) + tail), "en", "s", 1),
+        (7, " ".join(["footer", *words(rng, 70)]), "en", "s", 1),
+        (8, " ".join(words(rng, 25) + tail + ["footer"] + words(rng, 10)), "en", "s", 1),
+    ]
+    found = cut(spark.createDataFrame(rows, DOCS).coalesce(1))
+    assert found == cut_by_hand(rows, 50)
+    assert {r[0]: r[2] for r in found} == {1: 0, 2: 0, 3: 60, 4: 0, 5: 0, 6: 0, 7: 0, 8: 0}
+
+
 def test_fingerprint_clashes_are_settled_by_words(spark, monkeypatch):
     import numpy as np
 

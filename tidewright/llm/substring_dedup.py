@@ -51,7 +51,8 @@ def _super_kmers(texts: list[bytes], window: int, minimiser: int) -> Iterator[tu
         n = len(words) - window + 1
         inside = doc[:n] == doc[window - 1 :]
         cut = np.ones(n, bool)
-        cut[1:] = (least[1:] != least[:-1]) | (doc[1:n] != doc[: n - 1]) | ~inside[:-1]
+        # also where windows begin or cease to lie inside one text: none may reach into the next
+        cut[1:] = (least[1:] != least[:-1]) | (doc[1:n] != doc[: n - 1]) | (inside[1:] != inside[:-1])
         heads = np.flatnonzero(cut)
         tails = np.append(heads[1:], n)
         keep = inside[heads]
