@@ -149,6 +149,22 @@ def test_revisits_by_hand(spark, monkeypatch):
     assert revisits.resolved(spark.createDataFrame([], RECORDS)).count() == 0
 
 
+def test_revisits_do_not_depend_on_range_borders(spark, monkeypatch):
+    """A full response without record_id is carried over borders; a null full flag is a revisit."""
+    rows = [(None, "hot.example/a", 1, True, "a", None, {"server": "s"})]
+    rows += [(i, "hot.example/a", 1 + i, False, "a", None, {"date": f"d{i}"}) for i in range(1, 40)]
+    rows += [(50, "hot.example/a", 60, None, "a", None, None), (51, None, 1, None, None, None, None)]
+    docs = spark.createDataFrame(rows, RECORDS).repartition(3)
+    outcomes = []
+    for size in (5, 200_000):
+        monkeypatch.setattr(revisits, "RANGE_ROWS", size)
+        monkeypatch.setattr(revisits, "tasks_for", lambda _, n, each: max(1, -(-n // each)))
+        got = revisits.resolved(docs).collect()
+        outcomes.append(sorted((r["record_id"], r["outcome"], r["full_id"], str(r["headers"])) for r in got))
+    assert outcomes[0] == outcomes[1]
+    assert {r[0]: r[1] for r in outcomes[0]} == {**{i: "resolved" for i in range(1, 40)}, 50: "resolved", 51: "orphan"}
+
+
 def test_canonical_urls(spark):
     urls = ["http://WWW.A.example/x/", "https://a.example/x#top", "a.example/x?utm_source=feed", "http://a.example/x?ref=y&b=1", "http://a.example/x?b=1&utm_m=2"]
     got = [r[0] for r in spark.createDataFrame([(u,) for u in urls], "url string").select(revisits.canonical(F.col("url"))).collect()]

@@ -7,7 +7,8 @@ The as-of join works on ranges of (URL, time): a URL with a third of all records
 the latest full response is carried forward; what crosses a border is one row per range at most.
 
 Records: record_id, url, time, full (boolean), etag, last_modified, headers (map of text by lower-case name). Earlier means a smaller
-(time, record_id), a null time being the smallest. A null URL is an orphan. A revisit without validators agrees with any response. Repeated rows are
+(time, record_id), a null one being the smallest; of full responses with one time and record_id the one with the largest validators is
+the latest. A null `full` counts as false: the row is resolved as a revisit. A null URL is an orphan. A revisit without validators agrees with any response. Repeated rows are
 resolved alike. An empty table gives no rows. Bodies are not touched: the result points to the record that has it.
 """
 
@@ -42,6 +43,11 @@ def _full() -> Column:
     return F.struct("time", "record_id", "etag", "last_modified", "headers")
 
 
+def _rank() -> Column:
+    """The order of the records of a URL; nulls come first in it, as in a window's ascending order."""
+    return F.struct("time", "record_id", "full", "etag", "last_modified")
+
+
 def agrees(revisit_etag: Column, etag: Column, revisit_modified: Column, modified: Column) -> Column:
     """The entity tag decides where the revisit has one (weak and strong alike), else the time of the last change."""
     plain = lambda tag: F.regexp_replace(tag, "^W/", "")
@@ -59,20 +65,20 @@ def merged_headers(stored: Column, fresh: Column) -> Column:
 def resolved(records: DataFrame) -> DataFrame:
     """Every revisit: record_id, url_key, outcome (resolved, changed, orphan), full_id, headers (null unless resolved)."""
     spark = records.sparkSession
-    named = records.select("record_id", canonical(F.col("url")).alias("url_key"), "time", "full", "etag", "last_modified", "headers")
+    named = records.select("record_id", canonical(F.col("url")).alias("url_key"), "time", F.coalesce("full", F.lit(False)).alias("full"), "etag", "last_modified", "headers")
     known = named.filter("url_key IS NOT NULL")
     tasks = tasks_for(spark, known.count(), RANGE_ROWS)
     ranges = written(known.repartitionByRange(tasks, "url_key", "time", "record_id").withColumn("part", F.spark_partition_id()), "records")
 
     ends = ranges.groupBy("part").agg(F.min("url_key").alias("first"), F.max("url_key").alias("last"))
-    latest = ranges.filter("full").select("part", "url_key", "time", "record_id").join(F.broadcast(ends.select("part", F.col("last").alias("url_key"))), ["part", "url_key"])
-    latest = latest.groupBy("part", "url_key").agg(F.max(F.struct(F.col("time").isNotNull(), "time", "record_id")).alias("at"))
-    borders = ends.select(F.col("part").alias("into"), F.col("first").alias("url_key")).join(latest, "url_key").filter("part < into")
-    carried = borders.groupBy("into").agg(F.max("at").alias("at")).select(F.col("into").alias("part"), F.col("at.record_id").alias("record_id"))
-    carried = ranges.filter("full").join(F.broadcast(carried.select(F.col("part").alias("into"), "record_id")), "record_id")
-    carried = carried.groupBy("into").agg(F.first(_full()).alias("carried"), F.first("url_key").alias("first"))
-
-    before = Window.partitionBy("part", "url_key").orderBy(F.col("time").asc_nulls_first(), "record_id").rowsBetween(Window.unboundedPreceding, -1)
+    lasts = F.broadcast(ends.select("part", F.col("last").alias("url_key")))
+    latest = ranges.filter("full").join(lasts, ["part", "url_key"]).groupBy("part", "url_key")
+    latest = latest.agg(F.max(_rank()).alias("at"), F.max_by(_full(), _rank()).alias("carried"))
+    borders = ends.select(F.col("part").alias("into"), F.col("first").alias("url_key")).join(latest.drop("carried"), "url_key").filter("part < into")
+    sources = borders.groupBy("into", "url_key").agg(F.max_by("part", F.struct("at", "part")).alias("part"))
+    carried = latest.drop("at").join(F.broadcast(sources), ["part", "url_key"]).select("into", "carried", F.col("url_key").alias("first"))
+
+    before = Window.partitionBy("part", "url_key").orderBy(_rank()).rowsBetween(Window.unboundedPreceding, -1)
     inside = ranges.withColumn("prior", F.last(F.when(F.col("full"), _full()), ignorenulls=True).over(before)).filter("NOT full")
     joined = inside.join(F.broadcast(carried.withColumnRenamed("into", "part")), "part", "left")
     from_border = F.when(F.col("url_key") == F.col("first"), F.col("carried"))
