@@ -133,3 +133,29 @@ def test_quotation_is_told_from_abuse():
     assert typo.tolist() == [0, 0, 1, 0, 0, 0, 0, 0]
     scores = model.scores([b"you idiot", b'she read "such an idiot" aloud'])
     assert scores[0] > 0.5 > scores[1]
+
+
+def test_an_accented_letter_is_one_edit():
+    terms = [toxicity.Term(b"idiot", False), toxicity.Term("crétin".encode(), False), toxicity.Term(b"ugh", False)]
+    automaton = toxicity.Automaton(terms)
+    given = ["idiöt", "ídiöt", "idiot", "crétin", "cretin", "crètin", "ügh", "ugh", "idi日t", "é", "idiot"]
+    data = np.frombuffer(" ".join(given).encode() + b"\n", np.uint8)
+    kinds = automaton.match(data, *toxicity.words_of(data)).tolist()
+    near, word, none = toxicity.NEAR_WORD, toxicity.WORD, toxicity.NONE
+    assert kinds == [near, none, word, word, near, near, none, word, near, none, word]
+
+
+def test_short_terms_are_learned_and_match_exactly():
+    rng = random.Random(9)
+    plain = ["river", "stone", "cloud", "table", "green", "walks", "quiet", "paper"]
+    texts, labels = [], []
+    for i in range(200):
+        words = [rng.choice(plain) for _ in range(20)]
+        if i % 2:
+            words.insert(rng.randrange(20), "kys")
+        texts.append(" ".join(words).encode())
+        labels.append(i % 2)
+    terms = toxicity.learn_terms(texts, labels)
+    assert toxicity.Term(b"kys", False) in terms
+    data = np.frombuffer(b"kys kya kyss ky", np.uint8)
+    assert toxicity.Automaton(terms).match(data, *toxicity.words_of(data)).tolist() == [toxicity.WORD, toxicity.NONE, toxicity.NONE, toxicity.NONE]

@@ -3,7 +3,7 @@
 The lexicon is learned from a bounded sample of labelled rows: whole words, and stems (any ending), that occur in toxic
 documents and hardly elsewhere. Its trie is intersected with Levenshtein automata (no edit below EDIT_FROM letters, one from there on, two
 from TWO_EDITS_FROM) and made deterministic, so all words of a batch walk through one table in step, and most of them drop out
-after a few letters. Each hit is weighed by its window: words between quotation marks, or next to a word that reports
+after a few letters. Letters are code points: an accented one is one letter, one edit. Terms under EDIT_FROM letters match exactly. Each hit is weighed by its window: words between quotation marks, or next to a word that reports
 speech, count as quotation. Counts of hits by kind are combined into one probability by a logistic model.
 
 Words are runs of letters, digits and bytes above 127, in lower case. Null and empty texts have no hits. Without labels of both classes
@@ -78,19 +78,17 @@ class Automaton:
         for term in terms:
             node = 0
             deepest[0] = max(deepest[0], term.edits)
-            for byte in term.text:
-                if byte not in children[node]:
-                    children[node][byte] = len(children)
+            for letter in map(ord, term.text.decode("utf-8", "replace")):
+                if letter not in children[node]:
+                    children[node][letter] = len(children)
                     children.append({})
                     ends.append([])
                     deepest.append(0)
-                node = children[node][byte]
+                node = children[node][letter]
                 deepest[node] = max(deepest[node], term.edits)
             ends[node].append(term)
-        letters = sorted({b for t in terms for b in t.text})
-        self.classes = np.zeros(256, np.int64)  # 0: a byte that no term has
-        for i, b in enumerate(letters):
-            self.classes[b] = i + 1
+        letters = sorted({x for node in children for x in node})
+        self.letters = np.array(letters, np.uint32)
 
         def closed(places: dict[int, int]) -> frozenset:
             """Letters of a term may be skipped for an edit each; per node only the fewest edits matter."""
@@ -131,10 +129,10 @@ class Automaton:
         while todo:
             places, stem = todo.pop(0)
             row = []
-            for byte in [-1, *letters]:
+            for letter in [-1, *letters]:
                 after: dict[int, int] = {}
                 for node, edits in places:
-                    child = children[node].get(byte)
+                    child = children[node].get(letter)
                     if child is not None and edits < after.get(child, 99):
                         after[child] = edits
                     if edits + 1 <= deepest[node] and edits + 1 < after.get(node, 99):
@@ -153,14 +151,26 @@ class Automaton:
         self.table = np.array(rows, np.int32)
         self.kinds = np.array(kinds, np.int8)
 
+    def classes(self, data: np.ndarray) -> np.ndarray:
+        """Column of the table for every code point of UTF-8; 0: a letter that no term has."""
+        codes = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
+        if not len(self.letters):
+            return np.zeros(len(codes), np.int64)
+        place = np.minimum(np.searchsorted(self.letters, codes), len(self.letters) - 1)
+        return np.where(self.letters[place] == codes, place + 1, 0)
+
     def match(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Kind of every word; all words advance one byte at a time together."""
+        """Kind of every word of UTF-8, given its bytes; all words advance one letter at a time together."""
+        classes = self.classes(data)
+        if len(classes) < len(data):
+            letters = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
+            starts, ends = letters[starts], letters[ends]
         state = np.ones(len(starts), np.int32)
         live = np.arange(len(starts))
         offset = 0
         while len(live):
             at = starts[live] + offset
-            state[live] = self.table[state[live], self.classes[data[at]]]
+            state[live] = self.table[state[live], classes[at]]
             live = live[(state[live] != 0) & (at + 1 < ends[live])]
             offset += 1
         return self.kinds[state]
@@ -202,7 +212,7 @@ def learn_terms(texts: list[bytes], labels: list[int], limit: int = TERMS) -> li
     good = {
         k: len(v)
         for k, v in toxic.items()
-        if len(k[0]) >= STEM_FROM and len(v) >= least and len(clean.get(k, ())) / rows[1] <= 0.005 * len(v) / rows[0]
+        if len(v) >= least and len(clean.get(k, ())) / rows[1] <= 0.005 * len(v) / rows[0]
     }
     chosen: dict[tuple[str, bool], int] = {}
     for (text, stem), n in good.items():
