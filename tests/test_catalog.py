@@ -56,3 +56,17 @@ def test_entry_has_rows_and_a_stable_schema(spark):
     df = entry_point.entry(spark)
     assert df.columns == ["year_month", "brand", "gross_margin", "sales_amount", "lines"]
     assert df.count() > 0
+
+
+def test_whole_leads_at_five_digits(spark):
+    """More than 9,999 customers: every lead goes to the customer that has its whole number."""
+    folder = SF.parent / "sf0.1"
+    con = duckdb.connect()
+    for f in folder.glob("*.parquet"):
+        con.execute(f"CREATE VIEW {f.stem} AS SELECT * FROM '{f}'")
+    name, columns = "t3_conform_customer_whole_leads", ["customer_id", "customer_crm_id", "email", "address", "is_lead"]
+    expected = Counter(con.execute(f"SELECT {', '.join(columns)} FROM ({ORACLES[name]})").fetchall())
+    actual = Counter(map(tuple, QUERIES[name](spark, str(folder)).select(*columns).collect()))
+    assert actual == expected
+    assert max(c for c, lead, *_ in actual if lead) > 9_999
+    assert all(int(lead[1:]) == c for c, lead, *_ in actual if lead)
