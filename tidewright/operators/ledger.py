@@ -156,6 +156,7 @@ def ledger_increment(
     attribution: str = "per_pair",
     same_day: str = "replace",
     balances: DataFrame | None = None,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """New ledger rows, ready to be merged by product, location and day.
 
@@ -166,6 +167,7 @@ def ledger_increment(
     ``ledger_batch`` take them in.
 
     ``balances`` is the table of current balances (``current_balances``): with it no stored ledger row is read.
+    ``counted`` is the stock whose newest change is the snapshot time, if ``stock`` is only a part of it.
     """
     if same_day not in ("replace", "add"):
         raise ValueError(f"unknown same_day: {same_day}")
@@ -217,7 +219,7 @@ def ledger_increment(
             .withColumn("unit_out", F.col("unit_out") + F.coalesce("old_out", F.lit(0)))
             .select(*COLUMNS)
         )
-    snapshot = stock.agg(
+    snapshot = (stock if counted is None else counted).agg(
         F.coalesce(round_second(F.max("ModifiedDate")), F.lit(load_ts).cast("timestamp")).alias("snapshot_time")
     )
     moving = series.select(F.col("ProductID").alias("moving_product")).distinct()
@@ -265,11 +267,11 @@ def ledger_batch(
     def split(df: DataFrame, product: str, how: str) -> DataFrame:
         return df.join(late, F.col(product) == F.col("late_product"), how)
 
-    again = split(ledger_full(split(stock, "ProductID", "left_semi"), split(movements, "ProductID", "left_semi"),
-                              attribution=attribution, anchor=anchor), "product_id", "left_semi")
+    # the snapshot is that of the whole stock, whatever products are late
+    again = ledger_full(stock, split(movements, "ProductID", "left_semi"), attribution=attribution, anchor=anchor)
     onward = ledger_increment(
         split(stock, "ProductID", "left_anti"), split(movements, "ProductID", "left_anti"), ledger, mark, load_ts,
-        attribution=attribution, balances=balances,
+        attribution=attribution, balances=balances, counted=stock,
     )
     types = {f.name: f.dataType for f in ledger.schema.fields}
     return onward.select(*COLUMNS).unionByName(again.select(*[F.col(c).cast(types[c]).alias(c) for c in COLUMNS]))
