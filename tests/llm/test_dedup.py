@@ -111,6 +111,29 @@ def test_no_window_reaches_into_the_next_row(spark):
     assert {r[0]: r[2] for r in found} == {1: 0, 2: 0, 3: 60, 4: 0, 5: 0, 6: 0, 7: 0, 8: 0}
 
 
+def test_a_hot_minimiser_is_dealt_by_windows(spark, monkeypatch):
+    """A line with other words around it in every document: its windows are spread, and equal ones still meet."""
+    rng = random.Random(11)
+    line, passage = words(rng, 12), words(rng, 70)
+    rows = [(i, " ".join(words(rng, 60) + line + (passage if i % 4 == 0 else words(rng, 60))), "en", "s", 1) for i in range(200)]
+    docs = spark.createDataFrame(rows, DOCS).repartition(3)
+    monkeypatch.setattr(substring_dedup, "BUCKET_BYTES", 4_000)
+    monkeypatch.setattr(substring_dedup, "HOT_BYTES", 8_000)
+    dealt = substring_dedup.dealing(docs)
+    assert dealt.hot and dealt.more > 1
+    sizes = defaultdict(set)
+    for _, _, _, bucket, packed in substring_dedup._super_kmers([r[1].encode() for r in rows], 50, 4, dealt):
+        sizes[bucket].add(packed)
+    assert max(sum(map(len, x)) for x in sizes.values()) < 16_000
+    plain = defaultdict(set)
+    for _, _, _, bucket, packed in substring_dedup._super_kmers([r[1].encode() for r in rows], 50, 4, substring_dedup.Deal(dealt.buckets)):
+        plain[bucket].add(packed)
+    assert max(sum(map(len, x)) for x in plain.values()) > 16_000
+    found = cut(docs)
+    assert found == cut_by_hand(rows, 50)
+    assert sum(r[2] for r in found) > 0
+
+
 def test_fingerprint_clashes_are_settled_by_words(spark, monkeypatch):
     import numpy as np
 

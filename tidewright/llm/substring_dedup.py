@@ -6,7 +6,8 @@ minimiser, so equal windows always meet. There, equal strings are folded, words
 fingerprint and compared word by word, which gives the smallest doc_id that holds each window.
 
 What goes back is one answer per distinct super-k-mer that has a window with a smaller doc_id; the documents' super-k-mers
-find it by a 128-bit digest. A passage in a third of all documents costs each task one string in the bucket, and its answer is
+find it by a 128-bit digest. Buckets are weighed first, by the bytes of their different super-k-mers: in one over HOT_BYTES (a minimiser
+with ever other words around it) every window travels alone, to the bucket of its own fingerprint, so equal ones still meet. A passage in a third of all documents costs each task one string in the bucket, and its answer is
 one row; the join back is on plain columns, so a hot one is split like any skewed join.
 
 Windows are judged on the input. Null texts have no words. A null doc_id counts as larger than any other, so such a row
@@ -19,6 +20,7 @@ from __future__ import annotations
 import array
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -33,14 +35,24 @@ from tidewright.session import written
 WINDOW = 50
 MINIMISER = 4
 BUCKET_BYTES = 8 << 20  # of packed strings, before compression
+HOT_BYTES = 64 << 20  # of a bucket; a heavier one is dealt again by windows
 FLUSH_BYTES = 32 << 20
 PASS_WORDS = 4_000_000  # a bucket with more words is sorted in several passes over ranges of fingerprints
 SMALL_RANGES = 2_000_000  # ranges of 8 bytes that may be broadcast with their documents' keys; beyond, the join is shuffled
 LAST = (1 << 63) - 1  # stands for a null doc_id
 
 
-def _super_kmers(texts: list[bytes], window: int, minimiser: int) -> Iterator[tuple[int, int, int, int, bytes]]:
-    """(text, first word, windows, minimiser, packed words) of every super-k-mer; words are joined by one space."""
+@dataclass(frozen=True)
+class Deal:
+    """Buckets by minimiser; those that are `hot` give their windows to `more` further ones."""
+
+    buckets: int
+    hot: tuple[int, ...] = ()
+    more: int = 1
+
+
+def _runs(texts: list[bytes], window: int, minimiser: int) -> Iterator[tuple]:
+    """Per chunk: its first text, bytes, word starts, ends, fingerprints and texts, first words, and heads, tails, minimisers of super-k-mers."""
     for lo, hi in c.chunks(texts):
         data, begins = c.joined(texts[lo:hi])
         starts, ends, words = c.word_hashes(data)
@@ -57,10 +69,25 @@ def _super_kmers(texts: list[bytes], window: int, minimiser: int) -> Iterator[tu
         tails = np.append(heads[1:], n)
         keep = inside[heads]
         heads, tails = heads[keep], tails[keep]
-        first_word = np.searchsorted(doc, np.arange(hi - lo))
+        yield lo, data, starts, ends, words, doc, np.searchsorted(doc, np.arange(hi - lo)), heads, tails, least[heads]
+
+
+def _super_kmers(texts: list[bytes], window: int, minimiser: int, deal: Deal) -> Iterator[tuple[int, int, int, int, bytes]]:
+    """(text, first word, windows, bucket, packed words) of every super-k-mer; words are joined by one space."""
+    hot = np.array(deal.hot, np.uint64)
+    for lo, data, starts, ends, words, doc, first_word, heads, tails, least in _runs(texts, window, minimiser):
+        bucket = least % np.uint64(deal.buckets)
+        apart = np.isin(bucket, hot)
+        if apart.any():
+            count = np.where(apart, tails - heads, 1)
+            place = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+            apart, heads = np.repeat(apart, count), np.repeat(heads, count) + place
+            tails = np.where(apart, heads + 1, np.repeat(tails, count))
+            own = c.range_hashes(words, heads, heads + window) % np.uint64(deal.more) + np.uint64(deal.buckets)
+            bucket = np.where(apart, own, np.repeat(bucket, count))
         raw = data.tobytes()
         for a, b, d, key, x, y in zip(
-            heads.tolist(), tails.tolist(), doc[heads].tolist(), least[heads].tolist(), starts[heads].tolist(), ends[tails + window - 2].tolist()
+            heads.tolist(), tails.tolist(), doc[heads].tolist(), bucket.tolist(), starts[heads].tolist(), ends[tails + window - 2].tolist()
         ):
             yield lo + d, a - int(first_word[d]), b - a, key, b" ".join(raw[x:y].split())
 
@@ -92,7 +119,42 @@ def _unpack(blob: bytes) -> Iterator[tuple[bytes, int, int]]:
         place += size
 
 
-def _deal(window: int, minimiser: int, buckets: int):
+_WEIGHT = T.StructType([T.StructField(x, T.LongType()) for x in ("bucket", "bytes", "apart")])
+_WEIGHT_ARROW = pa.schema([(x, pa.int64()) for x in ("bucket", "bytes", "apart")])
+
+
+def _weights(window: int, minimiser: int, buckets: int):
+    """Per task and bucket: bytes of the different super-k-mers, and of their windows if each travels alone."""
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((2, buckets), np.int64)
+        for batch in batches:
+            for _, _, starts, ends, words, _, _, heads, tails, least in _runs(c.as_bytes(batch.column("text")), window, minimiser):
+                _, one = np.unique(c.range_hashes(words, heads, tails + window - 1), return_index=True)
+                heads, tails, least = heads[one], tails[one], least[one]
+                bucket, size = (least % np.uint64(buckets)).astype(np.int64), ends[tails + window - 2] - starts[heads]
+                np.add.at(total[0], bucket, size)
+                np.add.at(total[1], bucket, size * window * (tails - heads) // (tails - heads + window - 1))
+        some = np.flatnonzero(total[0])
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (some, *total[:, some])], schema=_WEIGHT_ARROW)
+
+    return weigh
+
+
+def dealing(docs: DataFrame, window: int = WINDOW, minimiser: int = MINIMISER) -> Deal:
+    """Buckets for a measured volume; the numbers of those over HOT_BYTES, a bounded share of all, reach the driver."""
+    volume = c.text_volume(docs)
+    # a super-k-mer carries about window - 1 words besides the (window - minimiser) / 2 that are its own
+    packed = volume * (1 + 2 * window / max(1, window - minimiser))
+    buckets = c.tasks_for(docs.sparkSession, int(packed), BUCKET_BYTES)
+    if packed <= HOT_BYTES:
+        return Deal(buckets)
+    weights = docs.select("text").mapInArrow(_weights(window, minimiser, buckets), _WEIGHT).groupBy("bucket").agg(F.sum("bytes").alias("bytes"), F.sum("apart").alias("apart"))
+    hot = weights.filter(F.col("bytes") > HOT_BYTES).collect()
+    return Deal(buckets, tuple(sorted(r["bucket"] for r in hot)), max(1, -(-sum(r["apart"] for r in hot) // BUCKET_BYTES)))
+
+
+def _deal(window: int, minimiser: int, dealt: Deal):
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=3)
         held: dict[int, dict[bytes, list[int]]] = {}
@@ -105,8 +167,8 @@ def _deal(window: int, minimiser: int, buckets: int):
 
         for batch in batches:
             ids = [LAST if i is None else i for i in batch.column("doc_id").to_pylist()]
-            for text, _, _, key, packed in _super_kmers(c.as_bytes(batch.column("text")), window, minimiser):
-                doc_id, entries = ids[text], held.setdefault(key % buckets, {})
+            for text, _, _, key, packed in _super_kmers(c.as_bytes(batch.column("text")), window, minimiser, dealt):
+                doc_id, entries = ids[text], held.setdefault(key, {})
                 bounds = entries.get(packed)
                 if bounds is None:
                     entries[packed] = [doc_id, doc_id]
@@ -225,12 +287,12 @@ _PLACE = T.StructType(
 _PLACE_ARROW = pa.schema([("kmer", pa.binary()), ("doc_id", pa.int64()), ("print", pa.int64()), ("start", pa.int32())])
 
 
-def _places(window: int, minimiser: int):
+def _places(window: int, minimiser: int, dealt: Deal):
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, prints = batch.column("doc_id").to_pylist(), batch.column("print").to_pylist()
             rows: list[list] = [[], [], [], []]
-            for text, start, _, _, packed in _super_kmers(c.as_bytes(batch.column("text")), window, minimiser):
+            for text, start, _, _, packed in _super_kmers(c.as_bytes(batch.column("text")), window, minimiser, dealt):
                 for column, value in zip(rows, (_digest(packed), ids[text], prints[text], start)):
                     column.append(value)
             table = pa.Table.from_arrays([pa.array(x, f.type) for x, f in zip(rows, _PLACE_ARROW)], schema=_PLACE_ARROW)
@@ -287,13 +349,10 @@ def _cut(window: int):
 
 
 
-def least_holders(docs: DataFrame, window: int = WINDOW, minimiser: int = MINIMISER, pass_words: int = PASS_WORDS) -> DataFrame:
+def least_holders(docs: DataFrame, dealt: Deal, window: int = WINDOW, minimiser: int = MINIMISER, pass_words: int = PASS_WORDS) -> DataFrame:
     """Answers: digest of a super-k-mer, and for each of its windows the smallest doc_id that holds it."""
-    volume = c.text_volume(docs)
-    # a super-k-mer carries about window - 1 words besides the (window - minimiser) / 2 that are its own
-    packed = volume * (1 + 2 * window / max(1, window - minimiser))
-    buckets = c.tasks_for(docs.sparkSession, int(packed), BUCKET_BYTES)
-    blobs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_deal(window, minimiser, buckets), _BLOB)
+    buckets = dealt.buckets + (dealt.more if dealt.hot else 0)
+    blobs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_deal(window, minimiser, dealt), _BLOB)
     met = blobs.repartition(buckets, "bucket").sortWithinPartitions("bucket")
     return met.mapInArrow(_count(window, pass_words), _ANSWER)
 
@@ -303,8 +362,9 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, minimiser: int = MINI
     own = c.others(docs, "n_words", "n_removed", "kept_text")
     rows = docs.select(*own, F.xxhash64("text").alias("_print"))
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("print"), "text")
-    places = slim.mapInArrow(_places(window, minimiser), _PLACE).distinct()
-    found = places.join(least_holders(docs, window, minimiser, pass_words), "kmer")
+    dealt = dealing(docs, window, minimiser)
+    places = slim.mapInArrow(_places(window, minimiser, dealt), _PLACE).distinct()
+    found = places.join(least_holders(docs, dealt, window, minimiser, pass_words), "kmer")
     ranges = found.select("doc_id", "print", "start", "least").mapInArrow(_ranges, _RANGE)
     grouped = written(ranges.groupBy("doc_id", "print").agg(F.collect_list(F.struct("first", "windows")).alias("_ranges")), "ranges")
     count = grouped.agg(F.coalesce(F.sum(F.size("_ranges")), F.lit(0))).first()[0]
