@@ -11,6 +11,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from tidewright.session import written
 
 WORD = r"[^\x20\x09-\x0D]+"  # bytes.split() in Python cuts at exactly these six bytes
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -172,3 +175,26 @@ def join_classes(members: DataFrame, classes: DataFrame, keys: Sequence[str], si
     cold = marked.filter(F.col(mark).isNull()).drop(mark).join(classes.filter(F.col(size) <= limit), list(keys), "left")
     warm = marked.filter(F.col(mark)).drop(mark).join(F.broadcast(hot), list(keys), "inner")
     return cold.unionByName(warm)
+
+
+# ---- numbers of rows in a global order -----------------------------------------------------------------
+
+MOST_RANGES = 10_000  # ranges of a numbered table, and so rows of its offsets, at most
+_ROW = 1 << 33  # monotonically_increasing_id counts the rows of a partition below this
+
+
+def numbered(df: DataFrame, order: Sequence[Column], rows: int, each: int, name: str) -> DataFrame:
+    """`df` with `name`: the row's number from 0 in this order, of all rows; `rows` of them were counted.
+
+    Rows are sorted in ranges, and counted per range; only those counts, MOST_RANGES at most, meet in one task and are broadcast.
+    The sorted table is written, so that a repeated task finds the same ranges again.
+    """
+    tasks = max(1, min(MOST_RANGES, math.ceil(rows / each)))
+    ranges = df.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
+    placed = written(ranges.withColumn("_id", F.monotonically_increasing_id()), "numbered")
+    part = F.floor(F.col("_id") / _ROW)
+    counts = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    offsets = counts.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+    found = placed.withColumn("_part", part).join(F.broadcast(offsets), "_part")
+    return found.withColumn(name, F.col("_before") + F.col("_id") % _ROW).drop("_part", "_before", "_id")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import chat, exact_dedup, mixing, ngram_join, packing, quality, revisits, substring_dedup, tokenizer_files, toxicity, vector_search
+from tidewright.llm import chat, exact_dedup, mixing, ngram_join, packing, quality, resampling, revisits, substring_dedup, tokenizer_files, toxicity, vector_search
 from tidewright.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,18 @@ WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+def _crc32(text: str) -> str:
+    """DuckDB SQL for the CRC-32 of a text's UTF-8 bytes, byte by byte with the polynomial's table."""
+    table = []
+    for value in range(256):
+        for _ in range(8):
+            value = value >> 1 ^ (0xEDB88320 if value & 1 else 0)
+        table.append(value)
+    found = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda x: ('0x' || x)::BIGINT)"
+    step = f"lambda c, b: xor(c >> 8, ({table}::BIGINT[])[(xor(c, b) & 255) + 1])"
+    return f"xor(list_reduce({found}, {step}, 4294967295::BIGINT), 4294967295)"
+
+
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
         QUERIES[name] = fn
@@ -248,3 +260,37 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
         "record_id", "url_key", "outcome", "full_id",
         header("date", "header_date"), header("etag", "header_etag"), header("content-type", "header_type"), header("server", "header_server"),
     )
+
+
+@query(
+    "op13_importance_resampling",
+    f"""WITH words AS (
+    SELECT 'd' AS kind, doc_id AS id, row_number() OVER () AS place, regexp_extract_all({LOWERED}, '{resampling.WORD}') AS words FROM documents
+    UNION ALL SELECT 'b', NULL, NULL, regexp_extract_all({LOWERED}, '{resampling.WORD}') FROM benchmark
+),
+features AS (
+    SELECT kind, id, place, unnest(list_concat(words, list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]))) AS feature FROM words
+),
+coded AS (SELECT feature, {_crc32("feature")} % 10000 AS bucket FROM (SELECT DISTINCT feature FROM features)),
+counted AS (SELECT bucket, count(*) FILTER (kind = 'd') AS s, count(*) FILTER (kind = 'b') AS t FROM features JOIN coded USING (feature) GROUP BY bucket),
+gained AS (
+    SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (sum(s) OVER () + 10000)::DOUBLE / ((s + 1)::DOUBLE * (sum(t) OVER () + 10000)::DOUBLE)))::BIGINT AS gain
+    FROM counted
+),
+summed AS (
+    SELECT place, count(*) AS n, sum(gain)::BIGINT AS total FROM features JOIN coded USING (feature) JOIN gained USING (bucket)
+    WHERE kind = 'd' GROUP BY place
+),
+scored AS (
+    SELECT id AS doc_id, len(words) AS n_words, coalesce(n, 0) AS n_features,
+           coalesce((total - ((total % n) + n) % n) // n, 0) AS weight,
+           ('0x' || left(sha256('7:' || id::VARCHAR), 8))::BIGINT::DOUBLE AS h
+    FROM words LEFT JOIN summed USING (place) WHERE kind = 'd'
+),
+final AS (SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296.0::DOUBLE)))::BIGINT AS score FROM scored),
+placed AS (SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) AS place, count(*) OVER (PARTITION BY n_words >= 20) AS n FROM final)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= 25 * n // 100 THEN place END AS rank FROM placed""",
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return resampling.resampled(docs, read_table(spark, sf_dir, "benchmark"))
