@@ -189,7 +189,7 @@ def numbered(df: DataFrame, order: Sequence[Column], rows: int, each: int, name:
     Rows are sorted in ranges, and counted per range; only those counts, MOST_RANGES at most, meet in one task and are broadcast.
     The sorted table is written, so that a repeated task finds the same ranges again.
     """
-    tasks = max(1, min(MOST_RANGES, math.ceil(rows / each)))
+    tasks = min(MOST_RANGES, tasks_for(df.sparkSession, rows, each))
     ranges = df.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
     placed = written(ranges.withColumn("_id", F.monotonically_increasing_id()), "numbered")
     part = F.floor(F.col("_id") / _ROW)

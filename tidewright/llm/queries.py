@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import chat, exact_dedup, mixing, ngram_join, packing, quality, resampling, revisits, substring_dedup, tokenizer_files, toxicity, vector_search
+from tidewright.llm import chat, exact_dedup, mixing, ngram_join, packing, quality, resampling, revisits, sharding, substring_dedup, tokenizer_files, toxicity, vector_search
 from tidewright.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -294,3 +294,74 @@ SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= 2
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return resampling.resampled(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def _name_cell(name: str) -> str:
+    """DuckDB SQL for the cell of a name, given the ends and the length of the common prefix of all."""
+    number = "('0x' || rpad(hex(encode(substr({}, {name}_skip + 1, 6))), 12, '0'))::BIGINT"
+    at, low, high = (number.format(x, name=name) for x in (f"least_{name}", f"{name}_min", f"{name}_max"))
+    cell = f"1 + floor(({at} - {low})::DOUBLE / greatest(1, {high} - {low})::DOUBLE * {sharding.CELLS - 2})"
+    return f"CASE WHEN least_{name} IS NULL THEN 0 ELSE greatest(1, least({sharding.CELLS - 1}, {cell})) END::INT"
+
+
+def _tree_level(k: int, half: int) -> str:
+    """One level of the k-d tree: rows r{k} of nodes with 2 * half leaves each go to their children in r{k + 1}."""
+    return f"""s{k} AS (
+    SELECT node, dim, cell, sum(size) AS weight FROM (SELECT node, size, unnest([0, 1, 2]) AS dim, unnest([dim0, dim1, dim2]) AS cell FROM r{k}) GROUP BY ALL
+),
+w{k} AS (
+    SELECT node, arg_max(dim, 3 * width - dim) AS dim, any_value(total) / 2 AS goal
+    FROM (SELECT node, dim, max(cell) - min(cell) AS width, sum(weight)::DOUBLE AS total FROM s{k} GROUP BY node, dim) GROUP BY node
+),
+m{k} AS (
+    SELECT node, dim, goal, cell, upto - weight AS before
+    FROM (SELECT *, sum(weight) OVER (PARTITION BY node ORDER BY cell) AS upto FROM s{k} JOIN w{k} USING (node, dim))
+    WHERE upto >= goal QUALIFY row_number() OVER (PARTITION BY node ORDER BY cell) = 1
+),
+p{k} AS (
+    SELECT node, dim, goal, cell, place, sum(size) AS weight, before + sum(sum(size)) OVER (PARTITION BY node ORDER BY place) AS upto
+    FROM r{k} JOIN m{k} USING (node) WHERE ([dim0, dim1, dim2])[dim + 1] = cell GROUP BY node, dim, goal, cell, place, before
+),
+c{k} AS (
+    SELECT node, dim, cell, CASE WHEN upto - goal <= goal - upto + weight THEN place ELSE place - 1 END AS last
+    FROM p{k} WHERE upto >= goal QUALIFY row_number() OVER (PARTITION BY node ORDER BY place) = 1
+),
+r{k + 1} AS (
+    SELECT r.* REPLACE (node + CASE WHEN (([dim0, dim1, dim2])[dim + 1], place) > (cell, last) THEN {half} ELSE 0 END AS node)
+    FROM r{k} r JOIN c{k} USING (node)
+),
+"""
+
+
+@query(
+    "op12_kd_tree_sharding",
+    f"""WITH measured AS (
+    SELECT doc_id, source, lang, octet_length(encode(coalesce(text, ''))) + 1 AS size, {_crc32("coalesce(text, '')")} AS text_crc32, left(md5(coalesce(text, '')), 16) AS hash
+    FROM documents
+),
+bounds AS (
+    SELECT sum(size) AS bytes, max(size) AS most, min(source) AS source_min, max(source) AS source_max, min(lang) AS lang_min, max(lang) AS lang_max FROM measured
+),
+ends AS (
+    SELECT *, len(list_filter(range(1, len(source_min) + 1), lambda i: left(source_min, i) = left(source_max, i))) AS source_skip,
+           len(list_filter(range(1, len(lang_min) + 1), lambda i: left(lang_min, i) = left(lang_max, i))) AS lang_skip
+    FROM bounds
+),
+grouped AS (
+    SELECT *, count(*) OVER same AS n, sum(size) OVER same AS group_bytes, min(source) OVER same AS least_source, min(lang) OVER same AS least_lang
+    FROM measured WINDOW same AS (PARTITION BY hash)
+),
+spots AS (
+    SELECT *, CASE WHEN n > 1 AND group_bytes > {sharding.WHOLE}::DOUBLE * bytes / 16 THEN left(md5(concat_ws(':', hash, doc_id)), 16) ELSE hash END AS spot
+    FROM grouped, ends
+),
+r0 AS (
+    SELECT doc_id, size, text_crc32, spot, ('0x' || left(spot, 4))::INT AS place, {_name_cell("source")} AS dim0, {_name_cell("lang")} AS dim1,
+           floor(ln(size::DOUBLE) / ln(greatest(2, most)::DOUBLE) * {sharding.CELLS - 1})::INT AS dim2, 0 AS node
+    FROM spots
+),
+{"".join(_tree_level(k, 8 >> k) for k in range(4))}numbers AS (SELECT *, row_number() OVER (PARTITION BY node ORDER BY spot, doc_id) - 1 AS slot FROM r4)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, node AS shard, slot, NULL::INT AS grown_shard FROM numbers""",
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.placements(read_table(spark, sf_dir, "documents"), shards=16)
