@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import chat, exact_dedup, mixing, ngram_join, packing, quality, resampling, revisits, sharding, substring_dedup, tokenizer_files, toxicity, vector_search
+from tidewright.llm import chat, exact_dedup, mixing, ngram_join, packing, quality, repair, resampling, revisits, sharding, substring_dedup, tokenizer_files, toxicity, vector_search
 from tidewright.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -365,3 +365,75 @@ SELECT doc_id, size, text_crc32, 'bytes' AS law, node AS shard, slot, NULL::INT
 )
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.placements(read_table(spark, sf_dir, "documents"), shards=16)
+
+
+@query(
+    "op11_survivor_viterbi_repair",
+    f"""WITH RECURSIVE coded AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           {_crc32("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS code
+    FROM conversations
+),
+rows AS (
+    SELECT conv_id, turn, CASE WHEN code = 4 THEN 'user' ELSE role END AS role,
+           CASE code WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE WHEN code = 3 THEN 2 ELSE 1 END)) AS nth
+    FROM coded WHERE code <> 0
+),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), nth) AS i,
+           row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, nth) AS seen,
+           rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS shown
+    FROM rows
+),
+judged AS (
+    SELECT *, left(role, 1) AS initial, CASE WHEN shown = '' THEN 'blank' WHEN seen > 1 THEN 'duplicate' WHEN NOT regexp_matches(shown, '[.!?]$') THEN 'truncated' ELSE '' END AS fault,
+           lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS initial_before
+    FROM placed
+),
+inserted(state, inserts, stands) AS (  -- states: 0 nothing yet, 1 s, 2 u, 3 a
+    VALUES (0, '', 0), (0, 'I', 2), (0, 'II', 3), (1, '', 1), (1, 'I', 2), (1, 'II', 3), (2, '', 2), (2, 'I', 3), (3, '', 3), (3, 'I', 2)
+),
+names AS (SELECT DISTINCT conv_id FROM conversations),
+best(conv_id, i, state, way) AS (
+    SELECT conv_id, 0::BIGINT, 0, struct_pack(cost := 0::BIGINT, audit := '') FROM names
+    UNION ALL
+    SELECT conv_id, i, state, min(way) FROM (
+        SELECT b.conv_id, j.i, e.to_state AS state, struct_pack(cost := b.way.cost + 3 * len(n.inserts) + e.cost, audit := b.way.audit || n.inserts || e.edit) AS way
+        FROM best b JOIN judged j ON j.conv_id IS NOT DISTINCT FROM b.conv_id AND j.i = b.i + 1 JOIN inserted n ON n.state = b.state,
+        LATERAL (
+            SELECT 'D' AS edit, n.stands AS to_state, 4 AS cost
+            UNION ALL SELECT 'K', 1, CASE WHEN j.fault = 'truncated' THEN 3 ELSE 0 END WHERE n.stands = 0 AND j.initial = 's' AND j.fault NOT IN ('blank', 'duplicate')
+            UNION ALL SELECT 'K', CASE n.stands WHEN 2 THEN 3 ELSE 2 END, CASE WHEN j.fault = 'truncated' THEN 3 ELSE 0 END
+                      WHERE j.initial = CASE n.stands WHEN 2 THEN 'a' ELSE 'u' END AND j.fault NOT IN ('blank', 'duplicate')
+            UNION ALL SELECT 'R', CASE n.stands WHEN 2 THEN 3 ELSE 2 END, CASE WHEN j.fault = 'truncated' THEN 6 ELSE 3 END WHERE j.fault NOT IN ('blank', 'duplicate')
+        ) e
+    ) GROUP BY conv_id, i, state
+),
+lengths AS (SELECT conv_id, count(*) AS n FROM judged GROUP BY conv_id),
+ended AS (
+    SELECT b.conv_id, min(struct_pack(cost := way.cost + 3 * len(inserts), audit := way.audit || inserts)) AS way
+    FROM best b LEFT JOIN lengths l ON l.conv_id IS NOT DISTINCT FROM b.conv_id JOIN inserted n USING (state)
+    WHERE b.i = coalesce(l.n, 0) AND (n.stands = 3 OR n.stands = 0) GROUP BY b.conv_id
+),
+letters AS (
+    SELECT conv_id, k, way.audit[k] AS letter, len(replace(left(way.audit, k), 'I', '')) AS i,
+           len(replace(left(way.audit, k), 'D', '')) AS place, len(replace(way.audit, 'D', '')) AS n
+    FROM (SELECT conv_id, way, unnest(range(1, len(way.audit) + 1)) AS k FROM ended)
+),
+kept AS (
+    SELECT l.conv_id, place, CASE WHEN letter = 'K' THEN role WHEN (n - place) % 2 = 1 THEN 'user' ELSE 'assistant' END AS role, CASE WHEN letter = 'I' THEN '' ELSE text END AS text
+    FROM letters l LEFT JOIN judged j ON letter <> 'I' AND j.conv_id IS NOT DISTINCT FROM l.conv_id AND j.i = l.i WHERE letter <> 'D'
+),
+texts AS (SELECT conv_id, string_agg(role || ':' || text, chr(10) ORDER BY place) AS content FROM kept GROUP BY conv_id),
+counts AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+           count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (initial_before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM judged GROUP BY conv_id
+)
+SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, way.cost AS cost, way.audit AS audit, sha256(coalesce(content, '')) AS repaired_sha256
+FROM ended e LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM e.conv_id LEFT JOIN texts t ON t.conv_id IS NOT DISTINCT FROM e.conv_id""",
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return repair.audited(repair.edits(repair.damaged(turns), turns))
