@@ -8,7 +8,7 @@ Head: the frequent words. Their CRC states (of the word, and of the word with a
 once and broadcast, HEAD**2 small numbers. Tail: every other word or pair takes its CRC from its bytes, a column of bytes at a
 time; a pair goes on from its first word's state. Which words are in the head changes the time, never a bucket.
 
-The head comes from a bounded sample (HEAD_DOCS documents of up to HEAD_BYTES bytes, chosen by a hash). All counts cover all documents.
+The head comes from a sample (about HEAD_DOCS documents of up to HEAD_BYTES bytes, chosen by a hash of the doc_id). All counts cover all documents.
 
 Null and empty texts have no features and weight 0. A null doc_id is drawn like an empty one. Rows with the same doc_id and text get the same
 score; they are ranked one after the other in any order. An empty corpus gives no rows; an empty target has no features, which is defined by the
@@ -171,8 +171,9 @@ def bucket_totals(docs: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
 
 
 def frequent_words(docs: DataFrame) -> list[bytes]:
-    """The most frequent short words of a bounded sample; HEAD of them at most reach the driver."""
-    some = docs.filter(F.octet_length("text") <= HEAD_BYTES).select("text", F.xxhash64("text").alias("_at")).orderBy("_at").limit(HEAD_DOCS)
+    """The most frequent short words of a sample; it is counted where it lies, HEAD words at most reach the driver."""
+    share = HEAD_DOCS / max(1, docs.count())
+    some = docs.filter((F.octet_length("text") <= HEAD_BYTES) & (F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30))))
     words = some.select(F.explode(F.regexp_extract_all(c.lowered(F.col("text")), F.lit(WORD), F.lit(0))).alias("word"))
     counts = words.filter(F.octet_length("word") <= _SHORT).groupBy("word").count()
     return [r["word"].encode() for r in counts.orderBy(F.desc("count"), "word").limit(HEAD).collect()]
