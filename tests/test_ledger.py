@@ -12,17 +12,18 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tests.erp import D, at, company, raw, rows_of
-from tidewright.operators.ledger import ledger_full, ledger_increment, ledger_merged, ledger_rebuilt
+from tidewright.operators.ledger import current_balances, ledger_batch, ledger_full, ledger_increment, ledger_merged, ledger_rebuilt
 
 
-def full_by_hand(stock, moves):
+def full_by_hand(stock, moves, onward=False, once=False):
+    """With ``onward`` the days after the snapshot too; with ``once`` each movement once a place."""
     snapshot = max(s["ModifiedDate"] for s in stock).date()
     days = defaultdict(list)
     for m in moves:
-        if m["TransactionDate"].date() > snapshot:
+        if m["TransactionDate"].date() > snapshot and not onward:
             continue
         for a in stock:
-            for b in stock:
+            for b in [a] if once else stock:
                 if a["ProductID"] == b["ProductID"] == m["ProductID"]:
                     place = a["LocationID"] if a["LocationID"] is not None else b["LocationID"]
                     if place is not None:
@@ -164,3 +165,49 @@ def test_disjoint_days_in_two_batches_equal_one_batch(spark):
     half = ledger_merged(start, ledger_increment(stock, first, start, at(1), at(30)))
     both = ledger_merged(half, ledger_increment(stock, moves, half, at(9, 12), at(30)))
     assert rows_of(both, *LEDGER) == rows_of(whole, *LEDGER)
+
+
+def known(spark, rows):
+    kinds = "product_id int, location_id int, transaction_date timestamp, unit_in bigint, unit_out bigint, unit_cost decimal(18,2), unit_balance bigint, modified_date timestamp"
+    days = [(p, l, dt.datetime.combine(d, dt.time()), into, off, cost, total, at(1)) for p, l, d, into, off, cost, total in rows]
+    return spark.createDataFrame(days, kinds)
+
+
+DAYS = "to_date(transaction_date) AS transaction_date"
+LATE_PLACE = st.tuples(st.integers(1, 2), st.integers(1, 2))
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(places=st.sets(LATE_PLACE, min_size=1, max_size=4), moves=st.lists(MOVE, min_size=1, max_size=12), news=st.lists(MOVE, min_size=1, max_size=5), held=st.integers(0, 12), once=st.booleans())
+def test_late_movements_give_the_ledger_of_all_movements(spark, places, moves, news, held, once):
+    """Snapshot on the 6th, mark on the 8th: new movements lie before, between and after both. ``held``: the last day merged by a load that died."""
+    stock = [{"ProductID": p, "LocationID": l, "Quantity": 10 * i, "ModifiedDate": at(6)} for i, (p, l) in enumerate(sorted(places))]
+    mark, later = at(13), at(14)
+    moves = [{**m, "TransactionID": i} for i, m in enumerate(moves)]
+    news = [{**m, "TransactionID": 100 + i, "ModifiedDate": later} for i, m in enumerate(news)]
+    expected = full_by_hand(stock, moves + news, onward=True, once=once)
+    stored = full_by_hand(stock, moves, onward=True, once=once)
+    if once:  # half merged, from the first month on
+        stored = [r for r in stored if r[2].day > held] + [r for r in expected if r[2].day <= held]
+    late = {m["ProductID"] for m in news}
+    frames = raw(spark, "product_inventory", stock), raw(spark, "product_transaction_history", moves + news)
+    ledger = known(spark, stored)
+    for _ in range(2):  # the repeated load changes nothing
+        batch = ledger_batch(*frames, ledger, mark, later, attribution="once" if once else "per_pair")
+        ledger = spark.createDataFrame(ledger_merged(ledger, batch).collect(), ledger.schema)
+        found = ledger.selectExpr("product_id", "location_id", DAYS, *LEDGER[3:])
+        assert [r for r in rows_of(found) if r[0] in late] == [r for r in expected if r[0] in late]
+
+
+def test_an_opening_row_anchors_late_movements_and_balances_follow(spark):
+    stock = [{"ProductID": 1, "LocationID": 1, "Quantity": 40, "ModifiedDate": at(6, 12)}]
+    move = {"ProductID": 1, "TransactionType": "P", "ActualCost": D(2), "TransactionID": 1}
+    first = ledger_increment(raw(spark, "product_inventory", stock), raw(spark, "product_transaction_history", []), known(spark, []), at(5), at(7))
+    ledger = spark.createDataFrame(ledger_merged(known(spark, []), first).collect(), known(spark, []).schema)
+    balances = current_balances(ledger)
+    late = [{**move, "TransactionDate": at(2), "Quantity": 15, "ModifiedDate": at(8)}, {**move, "TransactionID": 2, "TransactionDate": at(9), "Quantity": 5, "ModifiedDate": at(9)}]
+    batch = ledger_batch(raw(spark, "product_inventory", stock), raw(spark, "product_transaction_history", late), ledger, at(7), at(10), attribution="once", balances=balances)
+    assert sorted(rows_of(batch, "transaction_date", "unit_in", "unit_balance")) == [(at(2, 0), 15, 40), (at(9, 0), 5, 45)]
+    assert rows_of(current_balances(batch, balances), "last_balance") == [(45,)]
+    lower = batch.withColumn("unit_balance", F.col("unit_balance") - 30)
+    assert rows_of(current_balances(lower, current_balances(batch, balances)), "last_balance") == [(15,)]

@@ -225,6 +225,23 @@ def r11_cross_sell(spark, sf):
     return reports.product_affinity(st.fact_sales(spark, sf), Tables(spark, sf).dim_product(), "category")
 
 
+@query(
+    "r11_product_pairs",
+    _sales_sql(
+        """SELECT left_item, right_item, orders, l.orders_with AS left_orders, r.orders_with AS right_orders,
+            orders::DOUBLE * (SELECT count(DISTINCT sales_order_key) FROM c) / (l.orders_with::DOUBLE * r.orders_with) AS lift
+           FROM (SELECT a.product_key AS left_item, b.product_key AS right_item, count(*) AS orders
+                 FROM c a JOIN c b ON a.sales_order_key = b.sales_order_key AND a.product_key < b.product_key GROUP BY 1, 2 HAVING count(*) >= 2)
+           JOIN held l ON l.product_key = left_item JOIN held r ON r.product_key = right_item""",
+        c="SELECT DISTINCT sales_order_key, product_key FROM f WHERE sales_order_key IS NOT NULL AND product_key IS NOT NULL",
+        held="SELECT product_key, count(*) AS orders_with FROM c GROUP BY 1",
+    ),
+)
+def r11_product_pairs(spark, sf):
+    """Products that at least two orders have in common."""
+    return reports.product_pairs(st.fact_sales(spark, sf), min_support=2)
+
+
 @query(
     "r12_survey_ratings",
     sql(
@@ -298,6 +315,32 @@ def r14_refreshed_metrics(spark, sf):
     return reports.refreshed_metrics(stored, facts, facts.filter(F.col("modified_date") > F.lit(MARK)))
 
 
+# lines that change: some move on by a month, some lose their date, some are deleted, some come only now
+_KIND = "(sales_order_key * 7 + product_key) % 13"
+_MOVED_DAY = "CAST(strftime(strptime(CAST(order_date_key AS VARCHAR), '%Y%m%d') + INTERVAL 1 MONTH, '%Y%m%d') AS INTEGER)"
+_CHANGED = f"""SELECT * REPLACE (CASE WHEN {_KIND} = 1 THEN {_MOVED_DAY} WHEN {_KIND} = 2 THEN NULL ELSE order_date_key END AS order_date_key,
+    CASE WHEN {_KIND} = 3 THEN sales_amount + 1 ELSE sales_amount END AS sales_amount) FROM f WHERE {_KIND} IS DISTINCT FROM 4"""
+
+
+def _changes(facts):
+    """Facts as stored, and of the changed lines the versions before and after."""
+    kind = (F.col("sales_order_key") * 7 + F.col("product_key")) % 13
+    day = F.to_date(F.col("order_date_key").cast("string"), "yyyyMMdd")
+    moved = F.date_format(F.add_months(day, 1), "yyyyMMdd").cast("int")
+    after = facts.withColumns({
+        "order_date_key": F.when(kind == 1, moved).when(kind == 2, F.lit(None).cast("int")).otherwise(F.col("order_date_key")),
+        "sales_amount": F.when(kind == 3, F.col("sales_amount") + 1).otherwise(F.col("sales_amount")).cast(facts.schema["sales_amount"].dataType),
+    })
+    return facts.filter(~F.coalesce(kind == 5, F.lit(False))), facts.filter(kind.isin(1, 2, 3, 4)), after.filter(kind.isin(1, 2, 3, 5))
+
+
+@query("r14_retracted_metrics", _sales_sql(_METRICS.replace("FROM f ", "FROM changed "), changed=_CHANGED))
+def r14_retracted_metrics(spark, sf):
+    """Changed lines taken out as they were and put in as they are: no month keeps a line that left it."""
+    stored, old, new = _changes(written(st.fact_sales(spark, sf), "fact-sales"))
+    return reports.metrics_of(reports.retracted_metrics(reports.metric_state(stored), old, new))
+
+
 # ---- quality --------------------------------------------------------------------------------------
 
 

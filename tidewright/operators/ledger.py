@@ -74,9 +74,9 @@ def _stock_counts(stock: DataFrame) -> DataFrame:
 
 
 def ledger_full(
-    stock: DataFrame, movements: DataFrame, *, attribution: str = "per_pair", anchor: str = "snapshot_day"
+    stock: DataFrame, movements: DataFrame, *, attribution: str = "per_pair", anchor: str = "snapshot_day", until_snapshot: bool = True
 ) -> DataFrame:
-    """The whole ledger, anchored so that it ends at the counted stock.
+    """The whole ledger, anchored so that it ends at the counted stock, or goes on from it after the snapshot day.
 
     The snapshot day is the newest stock change. ``anchor='snapshot_day'`` shifts a location's balances
     only if a movement lies exactly on that day; ``'last'`` anchors every location at its last movement.
@@ -85,13 +85,12 @@ def ledger_full(
         raise ValueError(f"unknown anchor: {anchor}")
     snapshot = stock.agg(F.to_date(F.max("ModifiedDate")).alias("snapshot_day"))
     # the bound is on the day, a grouping key: whole groups drop out, so the test can follow the aggregate
-    daily = daily_movements(movements).join(
-        F.broadcast(snapshot), F.col("day") <= F.col("snapshot_day")  # one row by construction
-    )
+    up_to = F.col("day") <= F.col("snapshot_day") if until_snapshot else F.lit(True)
+    daily = daily_movements(movements).join(F.broadcast(snapshot), up_to)  # one row by construction
     series = with_running(daily)
     whole = Window.partitionBy("ProductID")
     if anchor == "last":
-        closing = F.max(F.struct("day", "running")).over(whole)["running"]
+        closing = F.max(F.when(F.col("day") <= F.col("snapshot_day"), F.struct("day", "running"))).over(whole)["running"]
     else:
         closing = F.max(F.when(F.col("day") == F.col("snapshot_day"), F.col("running"))).over(whole)
     series = series.withColumn("closing", closing)
@@ -122,11 +121,16 @@ BALANCE_COLUMNS = ["held_product", "held_location", "last_balance"]
 
 
 def current_balances(ledger: DataFrame, before: DataFrame | None = None) -> DataFrame:
-    """Per product and location the newest day, change and balance: of ``ledger`` and of the table as it was ``before``."""
-    at = F.struct("transaction_date", "modified_date", "unit_balance")
+    """Per product and location the newest day, change and balance: of ``ledger`` and of the table as it was ``before``.
+
+    A row of ``ledger`` replaces what was known of the same day.
+    """
+    at = F.struct("transaction_date", F.lit(1).alias("fresh"), "modified_date", "unit_balance")
     rows = ledger.select(F.col("product_id").alias("held_product"), F.col("location_id").alias("held_location"), at.alias("at"))
     if before is not None:
-        old = F.struct(F.col("last_day").alias("transaction_date"), F.col("last_change").alias("modified_date"), F.col("last_balance").alias("unit_balance"))
+        old = F.struct(
+            F.col("last_day").alias("transaction_date"), F.lit(0).alias("fresh"), F.col("last_change").alias("modified_date"), F.col("last_balance").alias("unit_balance")
+        )
         rows = rows.unionByName(before.select("held_product", "held_location", old.alias("at")))
     newest = rows.groupBy("held_product", "held_location").agg(F.max("at").alias("at"))
     return newest.select(
@@ -258,8 +262,8 @@ def ledger_batch(
     stock: DataFrame, movements: DataFrame, ledger: DataFrame, mark: dt.datetime, load_ts: dt.datetime, *,
     attribution: str = "per_pair", anchor: str = "snapshot_day", balances: DataFrame | None = None,
 ) -> DataFrame:
-    """Complete rows for a merge: products whose new movements are dated on or before the mark's day are computed anew
-    from all their movements, the others go on from their last balance. Repeating it changes nothing."""
+    """Complete rows for a merge: products whose new movements are dated on or before the mark's day are put right
+    (``late_rows``), the others go on from their last balance. Repeating it changes nothing."""
     day_after = dt.datetime.combine(mark.date() + dt.timedelta(days=1), dt.time())
     fresh = movements.filter(newer_than(F.col("ModifiedDate"), mark))
     late = fresh.filter(F.col("TransactionDate") < F.lit(day_after)).select(F.col("ProductID").alias("late_product")).distinct()
@@ -268,13 +272,86 @@ def ledger_batch(
         return df.join(late, F.col(product) == F.col("late_product"), how)
 
     # the snapshot is that of the whole stock, whatever products are late
-    again = ledger_full(stock, split(movements, "ProductID", "left_semi"), attribution=attribution, anchor=anchor)
+    snapshot = stock.agg(F.to_date(F.max("ModifiedDate")).alias("snapshot_day"))
+    again = late_rows(
+        split(stock, "ProductID", "left_semi"), split(movements, "ProductID", "left_semi"), split(fresh, "ProductID", "left_semi"),
+        split(ledger, "product_id", "left_semi"), snapshot, attribution=attribution, anchor=anchor,
+    )
     onward = ledger_increment(
         split(stock, "ProductID", "left_anti"), split(movements, "ProductID", "left_anti"), ledger, mark, load_ts,
         attribution=attribution, balances=balances, counted=stock,
     )
-    types = {f.name: f.dataType for f in ledger.schema.fields}
-    return onward.select(*COLUMNS).unionByName(again.select(*[F.col(c).cast(types[c]).alias(c) for c in COLUMNS]))
+    return onward.select(*COLUMNS).unionByName(again.select(*COLUMNS))
+
+
+def late_rows(
+    stock: DataFrame, movements: DataFrame, fresh: DataFrame, ledger: DataFrame, snapshot: DataFrame, *,
+    attribution: str, anchor: str = "snapshot_day",
+) -> DataFrame:
+    """What back-dated movements change in the ledger of their products, also on days after the snapshot.
+
+    Of a product whose places are all stored, only the days with ``fresh`` movements are summed again from the history. Each is then one
+    range update: what a day gained or lost against the stored row is carried to all later days by one running sum over the stored
+    days, and only days that end up different are returned. Sums are those of whole days and start from the first stored balance, so a batch
+    that was merged, or merged up to some month by a load that died, gives the same ledger again. Products with a place that the ledger lacks, and movements counted
+    per pair of places, where a new place changes every day, are summed over their whole history instead.
+
+    A balance is anchored where units were counted: at the snapshot day, if movements lie on it, and at opening rows of
+    places first seen without movements. Otherwise it goes on from what the first stored day started with.
+    """
+    kinds = {f.name: f.dataType for f in ledger.schema.fields}
+    key_types = {k: kinds[k] for k in LEDGER_KEYS}
+    counts = _stock_counts(stock)
+    places = stock.filter(F.col("LocationID").isNotNull()).select(
+        F.col("ProductID").cast(key_types["product_id"]).alias("product_id"),
+        F.col("LocationID").cast(key_types["location_id"]).alias("location_id"),
+        F.col("ProductID").alias("counted_product"),
+        F.col("Quantity").cast(kinds["unit_balance"]).alias("counted_units"),
+    )
+    factor = _copies(attribution, F.col("places") + F.col("unplaced"))
+    places = places.join(counts, "counted_product").select("product_id", "location_id", "counted_units", factor.alias("copies"))
+    stored = ledger.select(*COLUMNS)
+
+    days = fresh.select("ProductID", F.to_date("TransactionDate").alias("fresh_day")).distinct()
+    on_fresh_days = (F.col("ProductID") == F.col("fresh_product")) & (F.to_date("TransactionDate") == F.col("fresh_day"))
+    moves_of_days = movements.join(days.withColumnRenamed("ProductID", "fresh_product"), on_fresh_days, "left_semi")
+    if attribution == "once":
+        lacking = places.join(stored.select("product_id", "location_id").distinct(), ["product_id", "location_id"], "left_anti")
+        whole = lacking.select(F.col("product_id").alias("whole_product")).distinct()
+    else:
+        whole = places.select(F.col("product_id").alias("whole_product")).distinct()
+    of_whole = F.col("ProductID") == F.col("whole_product")
+    moves = moves_of_days.join(whole, of_whole, "left_anti").unionByName(movements.join(whole, of_whole, "left_semi"))
+
+    daily = daily_movements(moves).withColumn("product_id", F.col("ProductID").cast(key_types["product_id"]))
+    copies = F.col("copies")
+    summed = daily.join(places, "product_id").select(
+        "product_id", "location_id", F.col("day").cast(key_types["transaction_date"]).alias("transaction_date"),
+        (F.col("day_in") * copies).cast(kinds["unit_in"]).alias("unit_in"), (F.col("day_out") * copies).cast(kinds["unit_out"]).alias("unit_out"),
+        money(F.col("day_cost")).cast(kinds["unit_cost"]).alias("unit_cost"), F.col("day_modified").cast(kinds["modified_date"]).alias("modified_date"),
+    )
+    is_opening = (F.col("unit_in") == 0) & (F.col("unit_out") == 0) & (F.col("unit_cost") == 0) & (F.col("transaction_date") == F.col("modified_date"))
+    in_whole = F.col("product_id") == F.col("whole_product")
+    kept = stored.join(whole, in_whole, "left_anti").unionByName(stored.join(whole, in_whole, "left_semi").filter(is_opening))
+    kept = kept.join(summed.select(*LEDGER_KEYS), LEDGER_KEYS, "left_anti").withColumns({"opening": is_opening, "fresh": F.lit(False)})
+    before = stored.select(*LEDGER_KEYS, F.col("unit_balance").alias("held"), (F.col("unit_balance") - F.col("unit_in") + F.col("unit_out")).alias("start"))
+    rows = summed.withColumns({"unit_balance": F.lit(None).cast(kinds["unit_balance"]), "opening": F.lit(False), "fresh": F.lit(True)}).unionByName(kept)
+    rows = rows.join(before.join(whole, in_whole, "left_anti"), LEDGER_KEYS, "left").join(
+        places.select("product_id", "location_id", "counted_units"), ["product_id", "location_id"], "left"
+    ).crossJoin(F.broadcast(snapshot))  # one row by construction
+
+    place = Window.partitionBy("product_id", "location_id")
+    level = F.sum(F.col("unit_in") - F.col("unit_out")).over(place.orderBy("transaction_date").rowsBetween(Window.unboundedPreceding, 0))
+    leveled = rows.withColumn("level", level)
+    day = F.to_date("transaction_date")
+    on_anchor = day <= F.col("snapshot_day") if anchor == "last" else day == F.col("snapshot_day")
+    counted = F.when(F.col("opening"), F.col("unit_balance")).when(on_anchor, F.col("counted_units"))
+    anchored = F.max(F.when(counted.isNotNull(), F.struct("transaction_date", (counted - F.col("level")).alias("shift")))).over(place)["shift"]
+    # what the first stored day started with is what was there before any movement, a late one included
+    since = F.min(F.when(F.col("start").isNotNull(), F.struct("transaction_date", "start"))).over(place)["start"]
+    return leveled.withColumn("unit_balance", (F.col("level") + F.coalesce(anchored, since, F.lit(0))).cast(kinds["unit_balance"])).filter(
+        F.col("fresh") | ~F.col("unit_balance").eqNullSafe(F.col("held"))
+    ).select(*COLUMNS)
 
 
 def ledger_rebuilt(

@@ -35,9 +35,10 @@ def star_lookup(fact: DataFrame, dimensions: Mapping[str, DataFrame], lookups: S
     No broadcast is forced: the dimensions grow with the business. Catalyst broadcasts those whose size
     is known to lie under ``spark.sql.autoBroadcastJoinThreshold``; the others are joined by a shuffle on
     the key, where AQE splits a hot key of the fact side. NULL keys, often the largest group, match nothing: a second join
-    key spreads them over ``NULL_SPREAD`` places, so that they never meet in one task.
+    key, made of the row's other natural keys, spreads them over ``NULL_SPREAD`` places, so that they do not meet in one task.
     """
-    whole = [F.col(f"`{c}`") for c in fact.columns]
+    # the natural keys alone: all of them are read anyway, any other column would be kept from being pruned
+    keys = F.xxhash64(*dict.fromkeys(look.on for look in lookups))
     for look in lookups:
         value = look.value or look.key
         held = f"_{look.name}_key"
@@ -50,7 +51,7 @@ def star_lookup(fact: DataFrame, dimensions: Mapping[str, DataFrame], lookups: S
             asked = F.to_date(asked)
         if look.cast:
             asked = asked.try_cast(look.cast)
-        spread = F.when(asked.isNull(), F.pmod(F.xxhash64(*whole), F.lit(NULL_SPREAD)).cast("int") + 2).otherwise(F.lit(0))
+        spread = F.when(asked.isNull(), F.pmod(keys, F.lit(NULL_SPREAD)).cast("int") + 2).otherwise(F.lit(0))
         fact = fact.join(dim, (asked == F.col(held)) & (spread == F.col(place)), "left")
     names = {look.name for look in lookups}
     found = [F.col(f"_{look.name}_value").alias(look.name) for look in lookups]

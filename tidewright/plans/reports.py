@@ -7,10 +7,11 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tidewright.functions.scalars import month_of_key
+from tidewright.operators.pairs import frequent_pairs
 from tidewright.session import written
 
 
@@ -228,40 +229,61 @@ def product_affinity(sales: DataFrame, products: DataFrame, label: str) -> DataF
     return pairs.groupBy("left_item", "right_item").agg(_sum("orders"))
 
 
+def product_pairs(sales: DataFrame, min_support: int) -> DataFrame:
+    """Products bought together (R11), exactly, for pairs in at least ``min_support`` orders.
+
+    ``lift`` compares the orders with both to what the shares of either alone would give.
+    """
+    baskets = sales.filter("product_key IS NOT NULL").select(F.count_distinct("sales_order_key").alias("all_orders"))
+    pairs = frequent_pairs(sales, "sales_order_key", "product_key", min_support)
+    lift = F.col("orders").cast("double") * F.col("all_orders") / (F.col("left_orders").cast("double") * F.col("right_orders"))
+    return pairs.crossJoin(F.broadcast(baskets)).withColumn("lift", lift).drop("all_orders")  # one row by construction
+
+
 class HierarchyCycle(ValueError):
     """A member of a hierarchy that is its own ancestor."""
 
 
-def ancestors(members: DataFrame, key: str, parent: str) -> DataFrame:
-    """(member, ancestor) for every member with itself and all above it, however deep the hierarchy is.
-
-    The loop runs over levels and ends when a level adds nothing; it never looks at rows on the driver.
-    """
-    parents = members.select(F.col(key).alias("child"), F.col(parent).alias("above")).filter("above IS NOT NULL")
-    reach = members.select(F.col(key).alias("member"), F.col(key).alias("ancestor"))
-    paths = reach
-    while True:
-        climbed = reach.join(parents, F.col("ancestor") == F.col("child")).select("member", F.col("above").alias("ancestor"))
-        reach = written(climbed, "hierarchy")
-        if reach.isEmpty():
-            return paths
-        if not reach.filter("member = ancestor").isEmpty():
-            raise HierarchyCycle(f"a {key} is its own ancestor")
-        paths = paths.unionByName(reach)
+class TwoParents(ValueError):
+    """A member of a hierarchy that is listed with different parents."""
 
 
 def account_rollup(accounts: DataFrame, totals: DataFrame, key: str = "account_key", parent: str = "parent_id", count: str = "accounts") -> DataFrame:
     """Totals added up along the hierarchy (R13): every member's amount counts for itself and each of its ancestors.
 
-    ``totals`` has (key, amount). With other column names the same serves the class hierarchy.
+    ``totals`` has (key, amount). With other column names the same serves the class hierarchy. Ids that occur as parents only are members too.
+
+    Pointer doubling, one row per member: in round k a member points to its ancestor 2**k levels up and holds the total of its
+    descendants less than 2**k levels down. Adding it to that ancestor's and following the pointer twice doubles both. A chain of
+    10,000 members takes 14 rounds; no table of members and ancestors is made. Pointers that are left after as many rounds as the
+    number of members allows run in a circle.
     """
-    own = totals.groupBy(F.col(key).alias("member")).agg(_sum("amount"))
-    return (
-        ancestors(accounts, key, parent)
-        .join(own, "member")
-        .groupBy(F.col("ancestor").alias(key))
-        .agg(_sum("amount", "rolled_amount"), F.count(F.lit(1)).alias(count))
+    edges = accounts.filter(F.col(key).isNotNull()).select(F.col(key).alias("member"), F.col(parent).alias("above"))
+    named = edges.unionByName(edges.filter("above IS NOT NULL").select(F.col("above").alias("member"), F.lit(None).cast(edges.schema["above"].dataType).alias("above")))
+    own = totals.groupBy(F.col(key).alias("member")).agg(_sum("amount"), F.count(F.lit(1)).alias("_rows"))
+    members = named.groupBy("member").agg(F.max("above").alias("above"), F.count_distinct("above").alias("parents"))
+    total_type = own.agg(_sum("amount")).schema["amount"].dataType
+    state = members.join(own, "member", "left").select(
+        "member", "above", "parents", F.col("amount").cast(total_type).alias("total"), F.when(F.col("_rows").isNotNull(), 1).otherwise(0).cast("long").alias("held")
     )
+    seen = Observation()
+    live = F.count_if(F.col("above").isNotNull()).alias("live")
+    state = written(state.observe(seen, live, F.count(F.lit(1)).alias("members"), F.count_if(F.col("parents") > 1).alias("torn")).drop("parents"), "members")
+    found = seen.get
+    if found["torn"]:
+        raise TwoParents(f"{found['torn']} of {key} have several values of {parent}")
+    rounds = max(1, found["members"]).bit_length()
+    while found["live"]:
+        if not rounds:
+            raise HierarchyCycle(f"a {key} is its own ancestor")
+        rounds, seen = rounds - 1, Observation()
+        pushed = state.filter("above IS NOT NULL").groupBy(F.col("above").alias("member")).agg(F.sum("total").alias("more"), F.sum("held").alias("more_held"))
+        onward = state.filter("above IS NOT NULL").select(F.col("member").alias("step"), F.col("above").alias("next"))
+        added = state.join(pushed, "member", "left").join(onward, F.col("above") == F.col("step"), "left")
+        total = F.coalesce(F.col("total") + F.col("more"), "total", "more").cast(total_type).alias("total")
+        state = written(added.select("member", F.col("next").alias("above"), total, (F.col("held") + F.coalesce("more_held", F.lit(0))).alias("held")).observe(seen, live), "members")
+        found = seen.get
+    return state.filter("held > 0").select(F.col("member").alias(key), F.col("total").alias("rolled_amount"), F.col("held").alias(count))
 
 
 def monthly_metrics(sales: DataFrame) -> DataFrame:
@@ -271,20 +293,55 @@ def monthly_metrics(sales: DataFrame) -> DataFrame:
     ).agg(_sum("sales_amount"), _sum("gross_margin"), _sum("order_quantity"), F.count(F.lit(1)).alias("lines"))
 
 
-def refreshed_metrics(metrics: DataFrame, sales: DataFrame, changed: DataFrame) -> DataFrame:
+METRIC_KEYS = ["year_month", "product_key", "sales_territory_key"]
+MEASURES = ["sales_amount", "gross_margin", "order_quantity"]
+
+
+def metric_state(sales: DataFrame, sign: int = 1) -> DataFrame:
+    """Monthly metrics that can be taken back (R14): per measure also how many of its values are not NULL. ``sign=-1`` takes rows out."""
+    sums = [x for m in MEASURES for x in (F.coalesce(F.sum(m) * sign, F.lit(0)).alias(m), (F.count(m) * sign).alias(f"{m}_values"))]
+    month = month_of_key(F.col("order_date_key")).alias("year_month")
+    return sales.groupBy(month, *METRIC_KEYS[1:]).agg(*sums, (F.count(F.lit(1)) * sign).alias("lines"))
+
+
+def metrics_of(state: DataFrame) -> DataFrame:
+    """What ``monthly_metrics`` would give: groups without rows are gone, a measure without values is NULL."""
+    measures = [F.when(F.col(f"{m}_values") > 0, F.col(m)).alias(m) for m in MEASURES]
+    return state.filter("lines > 0").select(*METRIC_KEYS, *measures, "lines")
+
+
+def retracted_metrics(state: DataFrame, old: DataFrame, new: DataFrame) -> DataFrame:
+    """The state after facts changed (R14): ``old`` versions count as minus rows, ``new`` ones as plus rows, no other fact is read.
+
+    A line that moves to another month leaves the one it was in; lines without a date key have a month of their own, NULL; a group whose
+    last line goes is empty and drops out. Deleted lines are in ``old`` only, inserted ones in ``new`` only.
+    """
+    change = metric_state(new).unionByName(metric_state(old, sign=-1))
+    summed = [F.sum(c).cast(state.schema[c].dataType).alias(c) for c in state.columns if c not in METRIC_KEYS]
+    return state.unionByName(change).groupBy(*METRIC_KEYS).agg(*summed).filter("lines > 0")
+
+
+def refreshed_metrics(metrics: DataFrame, sales: DataFrame, changed: DataFrame, before: DataFrame | None = None) -> DataFrame:
     """Metrics with only the months touched by ``changed`` sales computed anew.
 
+    ``before`` holds the changed lines as they were: the months that they leave are touched too. Without it, lines must not have moved.
     The months are few and reach the driver, so that the scan of the sales is cut to them: by partition where they are
-    stored by month, else by ranges of the date key that are pushed down.
+    stored by month, else by ranges of the date key that are pushed down. Lines without a date key are a month of their own, which lies in
+    any partition.
     """
-    touched = changed.select(month_of_key(F.col("order_date_key")).alias("year_month")).distinct().collect()
-    months = sorted(r[0] for r in touched if r[0] is not None)
-    if not months:
-        return metrics
-    if "month_part" in sales.columns:
-        part = sales.filter(F.col("month_part").isin(months))
-    else:
+    moved = changed.select("order_date_key") if before is None else changed.select("order_date_key").union(before.select("order_date_key"))
+    touched = {r[0] for r in moved.select(month_of_key(F.col("order_date_key")).alias("year_month")).distinct().collect()}
+    months = sorted(touched - {None})
+    fresh = []
+    if months and "month_part" in sales.columns:
+        fresh.append(sales.filter(F.col("month_part").isin(months) & F.col("order_date_key").isNotNull()))
+    elif months:
         firsts = [int(m.replace("-", "")) * 100 for m in months]
-        part = sales.filter(reduce(or_, [F.col("order_date_key").between(f, f + 99) for f in firsts]))
-    keep = metrics.filter(~F.col("year_month").isin(months) | F.col("year_month").isNull())
-    return keep.unionByName(monthly_metrics(part))
+        fresh.append(sales.filter(reduce(or_, [F.col("order_date_key").between(f, f + 99) for f in firsts])))
+    if None in touched:
+        fresh.append(sales.filter(F.col("order_date_key").isNull()))
+    if not fresh:
+        return metrics
+    gone = F.col("year_month").isin(months)
+    keep = metrics.filter(F.coalesce(~gone, F.lit(None not in touched)))
+    return keep.unionByName(monthly_metrics(reduce(DataFrame.unionByName, fresh)))
