@@ -177,7 +177,7 @@ DAYS = "to_date(transaction_date) AS transaction_date"
 LATE_PLACE = st.tuples(st.integers(1, 2), st.integers(1, 2))
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(places=st.sets(LATE_PLACE, min_size=1, max_size=4), moves=st.lists(MOVE, min_size=1, max_size=12), news=st.lists(MOVE, min_size=1, max_size=5), held=st.integers(0, 12), once=st.booleans())
 def test_late_movements_give_the_ledger_of_all_movements(spark, places, moves, news, held, once):
     """Snapshot on the 6th, mark on the 8th: new movements lie before, between and after both. ``held``: the last day merged by a load that died."""

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from tidewright.functions.scalars import money, newer_than, round_second, units_in, units_out
 from tidewright.operators.upsert import merge_frame, merged_rows
+from tidewright.session import written
 
 LEDGER_KEYS = ["product_id", "location_id", "transaction_date"]
 COLUMNS = [
@@ -267,6 +268,7 @@ def ledger_batch(
     day_after = dt.datetime.combine(mark.date() + dt.timedelta(days=1), dt.time())
     fresh = movements.filter(newer_than(F.col("ModifiedDate"), mark))
     late = fresh.filter(F.col("TransactionDate") < F.lit(day_after)).select(F.col("ProductID").alias("late_product")).distinct()
+    late = written(late, "late-products")  # splits five tables
 
     def split(df: DataFrame, product: str, how: str) -> DataFrame:
         return df.join(late, F.col(product) == F.col("late_product"), how)
@@ -317,7 +319,7 @@ def late_rows(
     moves_of_days = movements.join(days.withColumnRenamed("ProductID", "fresh_product"), on_fresh_days, "left_semi")
     if attribution == "once":
         lacking = places.join(stored.select("product_id", "location_id").distinct(), ["product_id", "location_id"], "left_anti")
-        whole = lacking.select(F.col("product_id").alias("whole_product")).distinct()
+        whole = written(lacking.select(F.col("product_id").alias("whole_product")).distinct(), "whole-products")
     else:
         whole = places.select(F.col("product_id").alias("whole_product")).distinct()
     of_whole = F.col("ProductID") == F.col("whole_product")
@@ -330,6 +332,7 @@ def late_rows(
         (F.col("day_in") * copies).cast(kinds["unit_in"]).alias("unit_in"), (F.col("day_out") * copies).cast(kinds["unit_out"]).alias("unit_out"),
         money(F.col("day_cost")).cast(kinds["unit_cost"]).alias("unit_cost"), F.col("day_modified").cast(kinds["modified_date"]).alias("modified_date"),
     )
+    summed = written(summed, "late-days")
     is_opening = (F.col("unit_in") == 0) & (F.col("unit_out") == 0) & (F.col("unit_cost") == 0) & (F.col("transaction_date") == F.col("modified_date"))
     in_whole = F.col("product_id") == F.col("whole_product")
     kept = stored.join(whole, in_whole, "left_anti").unionByName(stored.join(whole, in_whole, "left_semi").filter(is_opening))
