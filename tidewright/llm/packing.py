@@ -17,6 +17,7 @@ import array
 import json
 import os
 import string
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -34,7 +35,8 @@ from tidewright.session import written
 
 SIZE = 2048
 END = 0
-KNOWN_RUNS = 400_000
+KNOWN_RUNS = 600_000  # about 60 bytes each
+FLUSH_BYTES = 4 << 20  # of ids handed on at a time
 PUNCTUATION = string.punctuation.encode()
 LAST_LATIN = "\u02b0"
 #: How the tokenizer must cut for runs to be put together from words and punctuation (fixed value of its file).
@@ -45,7 +47,8 @@ _FIRST_RANK = 1 << 44
 class Runs:
     """Ids of runs of non-space characters, as little-endian 32-bit integers; tables are emptied when they are full.
 
-    Where the tokenizer cuts letters from other characters and marks the ends of words, a run of Latin letters with
+    The runs of some texts are looked up together, in arrays, and their ids gathered by offsets; only runs not seen before are
+    looked at one by one. Where the tokenizer cuts letters from other characters and marks the ends of words, a run of Latin letters with
     punctuation behind it is put together from both parts, and many words of letters are encoded as one text and told apart by those marks.
     """
 
@@ -54,6 +57,7 @@ class Runs:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
+        self.table = _Table()
         self.known: dict[bytes, bytes] = {}
         self.words: dict[str, bytes] = {}
         self.tails: dict[bytes, bytes] = {b"": b""}
@@ -78,37 +82,134 @@ class Runs:
             else:
                 self.words.update(zip(group, self._plain(group)))
 
-    def _learn(self, fresh: list[bytes]) -> None:
+    def _learned(self, fresh: list[bytes]) -> list[bytes]:
+        """Ids of distinct runs, one after the other."""
         whole, parts = [], []
-        for run in fresh:
+        for i, run in enumerate(fresh):
             word = run.rstrip(PUNCTUATION) if self.apart else b""
-            text = word.decode("utf-8", "replace").lower()
-            if text.isalpha() and max(text) < LAST_LATIN and max(word.decode("utf-8", "replace")) < LAST_LATIN:
-                parts.append((run, text, run[len(word) :]))
+            text = word.decode("utf-8", "replace")
+            lower = text.lower()
+            if lower.isalpha() and (lower.isascii() or max(lower) < LAST_LATIN and max(text) < LAST_LATIN):
+                parts.append((i, lower, run[len(word) :]))
             else:
-                whole.append(run)
-        for i in range(0, len(whole), 10_000):
-            self.known.update(zip(whole[i : i + 10_000], self._plain([r.decode("utf-8", "replace") for r in whole[i : i + 10_000]])))
-        if len(self.words) > self.limit:
+                whole.append(i)
+        out: list[bytes] = [b""] * len(fresh)
+        for at in range(0, len(whole), 10_000):
+            some = whole[at : at + 10_000]
+            for i, ids in zip(some, self._plain([fresh[i].decode("utf-8", "replace") for i in some])):
+                out[i] = ids
+        if len(self.words) > self.limit // 2:
             self.words.clear()
         if len(self.tails) > self.limit // 4:
             self.tails = {b"": b""}
         self._learn_words(list({w for _, w, _ in parts if w not in self.words}))
         tails = list({t for _, _, t in parts if t not in self.tails})
         self.tails.update(zip(tails, self._plain([t.decode() for t in tails])))
-        self.known.update((run, self.words[word] + self.tails[tail]) for run, word, tail in parts)
+        for i, word, tail in parts:
+            out[i] = self.words[word] + self.tails[tail]
+        return out
 
     def encode(self, texts: list[bytes]) -> Iterator[bytes]:
         for lo, hi in c.chunks(texts):
-            split = [t.split() for t in texts[lo:hi]]
-            fresh = [run for run in set().union(*split) if run not in self.known]
-            if len(self.known) + len(fresh) > self.limit:
-                self.known.clear()
-                fresh = list(set().union(*split))
-            self._learn(fresh)
-            ids = self.known.__getitem__
-            for runs in split:
-                yield b"".join(map(ids, runs))
+            yield from self._encoded(texts[lo:hi])
+
+    def _encoded(self, texts: list[bytes]) -> Iterator[bytes]:
+        data, begins = c.joined(texts)
+        starts, ends = c.spans(data)
+        lengths = ends - starts
+        keys = _run_keys(data, starts, lengths)
+        prints = _run_prints(keys, lengths)
+        distinct, at, place = np.unique(prints, return_index=True, return_inverse=True)
+        # a run is looked up in the table if its whole content is its key; the rest, long ones above all, goes by a dictionary
+        plain = (lengths <= _KEY_BYTES) & (keys == keys[at[place]]).all(axis=1) & (lengths == lengths[at[place]])
+        asked = np.flatnonzero(plain[at])
+        if self.table.size + len(asked) > self.limit:
+            self.table = _Table()
+        row = self.table.rows(distinct[asked])
+        fresh = asked[~self.table.holds(row, distinct[asked], keys[at[asked]])]
+        spots = at[fresh]
+        found = self._learned([data[i:j].tobytes() for i, j in zip(starts[spots].tolist(), ends[spots].tolist())])
+        self.table.add(distinct[fresh], keys[spots], found)
+        row = self.table.rows(distinct[asked])
+        held = self.table.holds(row, distinct[asked], keys[at[asked]])  # false where another run has the same fingerprint
+        row_of = np.full(len(distinct), -1, np.int64)
+        row_of[asked[held]] = row[held]
+
+        rows = np.where(plain, row_of[place], -1)
+        other = np.flatnonzero(rows < 0)
+        others = [data[i:j].tobytes() for i, j in zip(starts[other].tolist(), ends[other].tolist())]
+        new = list({run for run in others if run not in self.known})
+        if len(self.known) + len(new) > self.limit // 8:
+            self.known.clear()
+            new = list(set(others))
+        self.known.update(zip(new, self._learned(new)))
+
+        counts = np.zeros(len(starts), np.int64)
+        counts[rows >= 0] = self.table.counts[rows[rows >= 0]]
+        counts[other] = [len(self.known[run]) // 4 for run in others]
+        upto = np.concatenate([[0], np.cumsum(counts)])
+        source = np.where(rows >= 0, self.table.offsets[rows], 0) - upto[:-1] if self.table.size else np.zeros(len(starts), np.int64) - upto[:-1]
+        out = self.table.ids.take(np.repeat(source, counts) + np.arange(upto[-1]), mode="clip") if len(self.table.ids) else np.zeros(upto[-1], np.uint32)
+        for i, run in zip(other.tolist(), others):
+            out[upto[i] : upto[i + 1]] = np.frombuffer(self.known[run], np.uint32)
+        cuts = upto[np.searchsorted(starts, np.append(begins, len(data)))].tolist()
+        for i, j in zip(cuts[:-1], cuts[1:]):
+            yield out[i:j].tobytes()
+
+
+_KEY_BYTES = 24
+
+
+def _run_keys(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The first 24 bytes of each run as three numbers, zeros behind its end."""
+    spare = np.concatenate([data, np.zeros(_KEY_BYTES, np.uint8)])
+    view = np.lib.stride_tricks.sliding_window_view(spare, _KEY_BYTES)
+    keys = view[starts].view("<u8").reshape(-1, 3)
+    for k in range(3):
+        left = np.clip(lengths - 8 * k, 0, 8)
+        keys[:, k] &= _FULL[left]
+    return keys
+
+
+_FULL = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
+
+def _run_prints(keys: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    out = c.mix(lengths.astype(np.uint64))
+    for k in range(3):
+        out = c.mix(out ^ keys[:, k])
+    return out
+
+
+class _Table:
+    """Ids of runs of up to 24 bytes, found by a fingerprint and told apart by their whole content."""
+
+    def __init__(self) -> None:
+        self.size = 0
+        self.prints, self.keys = np.zeros(0, np.uint64), np.zeros((0, 3), np.uint64)
+        self.offsets, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.uint32)
+
+    def rows(self, prints: np.ndarray) -> np.ndarray:
+        return np.minimum(np.searchsorted(self.prints, prints), max(0, self.size - 1))
+
+    def holds(self, rows: np.ndarray, prints: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        if not self.size:
+            return np.zeros(len(prints), bool)
+        return (self.prints[rows] == prints) & (self.keys[rows] == keys).all(axis=1)
+
+    def add(self, prints: np.ndarray, keys: np.ndarray, ids: list[bytes]) -> None:
+        """`prints` are sorted; one that is there already stays as it is."""
+        if not len(prints):
+            return
+        counts = np.array([len(x) // 4 for x in ids], np.int64)
+        offsets = len(self.ids) + np.cumsum(counts) - counts
+        self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(ids), np.uint32)])
+        new = ~((self.prints[self.rows(prints)] == prints) if self.size else np.zeros(len(prints), bool))
+        at = np.searchsorted(self.prints, prints[new])
+        self.prints, self.keys = np.insert(self.prints, at, prints[new]), np.insert(self.keys, at, keys[new], axis=0)
+        self.offsets, self.counts = np.insert(self.offsets, at, offsets[new]), np.insert(self.counts, at, counts[new])
+        self.size = len(self.prints)
 
 
 @lru_cache(maxsize=2)
@@ -116,54 +217,52 @@ def _runs(path: str) -> Runs:
     return Runs(path)  # kept by the worker from task to task
 
 
-_PIECE = T.StructType(
-    [
-        T.StructField("doc_id", T.LongType()),
-        T.StructField("piece", T.IntegerType()),
-        T.StructField("start", T.LongType()),
-        T.StructField("length", T.LongType()),
-        T.StructField("ids", T.BinaryType()),
-        T.StructField("task", T.LongType()),
-        T.StructField("rank", T.LongType()),
-    ]
-)
-_PIECE_ARROW = pa.schema(
-    [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("task", pa.int64()), ("rank", pa.int64())]
-)
+def _piece(content: str, kind: T.DataType, arrow: pa.DataType) -> tuple[T.StructType, pa.Schema]:
+    columns = [("doc_id", T.LongType(), pa.int64()), ("piece", T.IntegerType(), pa.int32()), ("start", T.LongType(), pa.int64()), ("length", T.LongType(), pa.int64())]
+    columns += [(content, kind, arrow), ("task", T.LongType(), pa.int64()), ("rank", T.LongType(), pa.int64())]
+    return T.StructType([T.StructField(n, k) for n, k, _ in columns]), pa.schema([(n, x) for n, _, x in columns])
 
 
-def _cut(path: str, size: int, end: int):
+_WITH_IDS = _piece("ids", T.BinaryType(), pa.binary())
+_WITH_DIGEST = _piece("ids_crc32", T.LongType(), pa.int64())
+
+
+def _cut(path: str, size: int, end: int, digest: bool):
     last = int(end).to_bytes(4, "little")
+    schema = (_WITH_DIGEST if digest else _WITH_IDS)[1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, ranks = TaskContext.get().partitionId(), [0] * (size + 1)
         for batch in batches:
-            rows: list[list] = [[] for _ in _PIECE_ARROW]
+            rows: list[list] = [[] for _ in schema]
             held = 0
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), _runs(path).encode(c.as_bytes(batch.column("text")))):
                 ids += last
                 for piece, at in enumerate(range(0, len(ids), 4 * size)):
                     own = ids[at : at + 4 * size]
                     length = len(own) // 4
-                    for column, value in zip(rows, (doc_id, piece, at // 4, length, own, task, ranks[length])):
+                    for column, value in zip(rows, (doc_id, piece, at // 4, length, zlib.crc32(own) if digest else own, task, ranks[length])):
                         column.append(value)
                     ranks[length] += 1
-                held += len(ids)
-                if held > 32 << 20:
-                    yield _batch(rows)
-                    rows, held = [[] for _ in _PIECE_ARROW], 0
-            yield _batch(rows)
+                held += 0 if digest else len(ids)
+                if held > FLUSH_BYTES:
+                    yield _batch(rows, schema)
+                    rows, held = [[] for _ in schema], 0
+            yield _batch(rows, schema)
 
     return run
 
 
-def _batch(rows: list[list]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(rows, _PIECE_ARROW)], schema=_PIECE_ARROW)
+def _batch(rows: list[list], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(rows, schema)], schema=schema)
 
 
-def pieces(docs: DataFrame, path: str, size: int = SIZE, end: int = END) -> DataFrame:
-    """Written table of pieces: doc_id, piece, start, length, ids (little-endian 32-bit), task and rank within length."""
-    cut = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_cut(path, size, end), _PIECE)
+def pieces(docs: DataFrame, path: str, size: int = SIZE, end: int = END, digest: bool = False) -> DataFrame:
+    """Written table of pieces: doc_id, piece, start, length, ids (little-endian 32-bit), task and rank within length.
+
+    With `digest`, ids_crc32 in place of ids: to plan and check slots, ids need not be written.
+    """
+    cut = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_cut(path, size, end, digest), (_WITH_DIGEST if digest else _WITH_IDS)[0])
     return written(cut, "pieces")
 
 

@@ -143,8 +143,7 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_best_fit_packing")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    cut = packing.pieces(docs, tokenizer_files.path("word_bpe_49k.json"))
-    return packing.placed(cut.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+    return packing.placed(packing.pieces(docs, tokenizer_files.path("word_bpe_49k.json"), digest=True))
 
 
 @query("op8_byte_network_quality")
