@@ -31,8 +31,16 @@ def lowered(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
 
 
+BATCH_CONF, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "4m"
+
+
 def importable(spark: SparkSession) -> None:
-    """Python workers look for this library where the driver found it; an installed one is found anyway."""
+    """Python workers look for this library where the driver found it; an installed one is found anyway.
+
+    Batches of texts are kept small, unless the session says how large they are to be: they are held twice, beside the arrays made of them.
+    """
+    if BATCH_CONF not in spark.conf.getAll:
+        spark.conf.set(BATCH_CONF, BATCH_BYTES)
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     paths = [p for p in spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:
@@ -100,10 +108,26 @@ def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np
     return mix(raw ^ (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
+_FULL = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
+
 def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and fingerprint of every word of a byte array."""
+    """Start, end and fingerprint of every word of a byte array.
+
+    Each block of eight bytes is scrambled with its number before it enters the word's sum: a plain polynomial in the bytes modulo 2**64
+    has words of its own structure that collide whatever its base is.
+    """
     starts, ends = spans(data)
-    return starts, ends, range_hashes(data, starts, ends)
+    lengths = ends - starts
+    if not len(starts):
+        return starts, ends, np.zeros(0, np.uint64)
+    view = np.lib.stride_tricks.sliding_window_view(np.concatenate([data, np.zeros(8, np.uint8)]), 8)
+    blocks = (lengths + 7) >> 3
+    first = np.cumsum(blocks) - blocks
+    nth = np.arange(first[-1] + blocks[-1]) - np.repeat(first, blocks)
+    values = view[np.repeat(starts, blocks) + 8 * nth].view("<u8")[:, 0] & _FULL[np.minimum(8, np.repeat(lengths, blocks) - 8 * nth)]
+    scrambled = mix(values ^ mix((nth + 1).astype(np.uint64) * np.uint64(_BASE)))
+    return starts, ends, mix(np.add.reduceat(scrambled, first) ^ lengths.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
 def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
