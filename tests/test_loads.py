@@ -13,6 +13,7 @@ from tidewright.operators import quality
 from tidewright.plans import loads
 from tidewright.plans.star import relookup
 from tidewright.sources.raw_tables import RAW_TABLES
+from tidewright.sources.store import TypeChange
 from tidewright.streaming.micro_batches import landing_stream, merge_batches
 
 NOW, LATER = at(28), at(29)
@@ -361,3 +362,82 @@ def test_null_keys_may_not_repeat_where_nulls_are_equal(spark):
     check_source(target, batch, ["a", "b"])
     with pytest.raises(DuplicateSourceKey):
         check_source(target, batch, ["a", "b"], null_safe=True)
+
+
+@pytest.mark.parametrize("step", range(9))
+def test_a_full_load_that_dies_at_any_statement_loses_no_row(spark, store, monkeypatch, step):
+    """After it an incremental load finds every row, old or new."""
+    rows = [{"TerritoryID": i, "Name": "old", "ModifiedDate": at(1)} for i in range(1, 6)]
+    loads.load_raw_full(store, "sales_territory", raw(spark, "sales_territory", rows), NOW)
+    again = raw(spark, "sales_territory", [{**r, "Name": "new"} for r in rows])
+    calls, run = [], type(spark).sql
+
+    def dying(self, text, *args, **more):
+        if text.startswith(("ALTER", "DROP", "CREATE TABLE")):
+            calls.append(text)
+            if len(calls) == step + 1:
+                raise Killed(text)
+        return run(self, text, *args, **more)
+
+    monkeypatch.setattr(type(spark), "sql", dying)
+    died = False
+    try:
+        loads.load_raw_full(store, "sales_territory", again, LATER)
+    except Killed:
+        died = True
+    monkeypatch.setattr(type(spark), "sql", run)
+    batch = raw(spark, "sales_territory", [{"TerritoryID": 6, "Name": "added", "ModifiedDate": at(2)}])
+    loads.load_raw_incremental(store, "sales_territory", batch, LATER)
+    held = rows_of(store.read("raw", "sales_territory"), "TerritoryID", "Name")
+    assert [r[0] for r in held] == [1, 2, 3, 4, 5, 6]
+    assert len({r[1] for r in held[:5]}) == 1 and (died or held[0][1] == "new")
+    assert not any(spark.catalog.tableExists(f"raw.sales_territory{end}") for end in ("__old",)) or died
+
+
+def test_a_table_that_vanished_is_not_made_of_a_batch(spark, store):
+    first = raw(spark, "sales_territory", [{"TerritoryID": 1, "Name": "A", "ModifiedDate": at(1)}])
+    loads.load_raw_incremental(store, "sales_territory", first, NOW)
+    spark.sql("DROP TABLE raw.sales_territory")
+    late = raw(spark, "sales_territory", [{"TerritoryID": 2, "Name": "B", "ModifiedDate": at(2)}])
+    with pytest.raises(loads.LostTable):
+        loads.load_raw_incremental(store, "sales_territory", late, LATER)
+
+
+def test_marks_of_loads_side_by_side_are_all_kept(spark, store, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    other = type(store)(spark, store.root)
+    store.advance("raw", "first", at(1), NOW, 1, 1)
+    store.marks("raw").collect()  # one load has read the log when another one writes
+    other.advance("raw", "second", at(2), NOW, 2, 2)
+    store.advance("raw", "first", at(3), LATER, 3, 3)
+    with ThreadPoolExecutor(6) as pool:
+        list(pool.map(lambda i: Store_of(store).advance("raw", f"t{i}", at(i), NOW, i, i), range(4, 12)))
+    store.advance("raw", "first", None, LATER, 4, 0)  # no new data: the mark stays
+    expected = [("first", at(3), 4), ("second", at(2), 2)] + [(f"t{i}", at(i), i) for i in range(4, 12)]
+    assert rows_of(store.marks("raw"), "table_name", "max_modified_date", "row_count") == sorted(expected, key=str)
+    assert store.compact_marks("raw") == 12 and len(store.partitions("raw", "water_mark")) == 1
+    store.advance("raw", "second", at(20), LATER, 5, 5)
+    assert store.mark("raw", "second") == at(20) and store.mark("raw", "first") == at(3) and store.counted("raw", "t7") == 7
+
+
+def Store_of(store):
+    return type(store)(store.spark, store.root)
+
+
+def test_a_batch_with_a_new_and_a_wider_column_is_merged_part_by_part(spark, store):
+    rows = spark.createDataFrame([(1, 10, D(1), "2024-01"), (2, 20, D(2), "2024-02")], "id long, n int, price decimal(8,2), month_part string")
+    store.reload_partitioned("raw", "grown", rows, "month_part")
+    place = "DESCRIBE FORMATTED raw.grown PARTITION (month_part='2024-01')"
+    before = store._location(place)
+    batch = spark.createDataFrame([(2, 1 << 40, D(3), "new", "2024-02")], "id long, n long, price decimal(12,4), note string, month_part string")
+    store.merge("raw", "grown", store.stage(batch, None, "grown"), ["id"], partition="month_part")
+    assert store.read("raw", "grown").dtypes == [("id", "bigint"), ("n", "bigint"), ("price", "decimal(12,4)"), ("note", "string"), ("month_part", "string")]
+    assert rows_of(store.read("raw", "grown")) == [(1, 10, D(1), None, "2024-01"), (2, 1 << 40, D(3), "new", "2024-02")]
+    assert store._location(place) == before  # the other part was not rewritten
+    narrow = spark.createDataFrame([(1, 7, "2024-01")], "id long, n int, month_part string")
+    store.merge("raw", "grown", store.stage(narrow, None, "grown"), ["id"], partition="month_part")
+    assert rows_of(store.read("raw", "grown"), "id", "n", "note") == [(1, 7, None), (2, 1 << 40, "new")]
+    bad = spark.createDataFrame([(1, "seven", "2024-01")], "id long, n string, month_part string")
+    with pytest.raises(TypeChange):
+        store.merge("raw", "grown", store.stage(bad, None, "grown"), ["id"], partition="month_part")

@@ -95,3 +95,14 @@ def record(marks: DataFrame, rows: DataFrame) -> DataFrame:
         F.coalesce(new_mark, F.max("max_modified_date")).alias("max_modified_date"), *rest
     )
     return grouped.select(*marks.columns)
+
+
+def latest(log: DataFrame) -> DataFrame:
+    """Control rows from a log of them (I4, I5): per (table_name, layer_type) the one with the largest run number.
+
+    A NULL mark does not replace an earlier one.
+    """
+    marked = F.when(F.col("max_modified_date").isNotNull(), F.col("run"))
+    rest = [F.max_by(c, "run").alias(c) for c in ("last_load_time", "row_count", "rows_changed")]
+    grouped = log.groupBy(*WATERMARK_KEYS).agg(F.max_by("max_modified_date", marked).alias("max_modified_date"), *rest)
+    return grouped.select("table_name", "max_modified_date", "layer_type", "last_load_time", "row_count", "rows_changed")

@@ -39,6 +39,10 @@ class EmptySource(ValueError):
     """A full load found no rows at all."""
 
 
+class LostTable(RuntimeError):
+    """A table that has a mark, but cannot be found."""
+
+
 @dataclass(frozen=True)
 class LoadResult:
     """What a load did (M9): marks before and after, rows in the table, rows changed."""
@@ -149,6 +153,10 @@ def load_raw_incremental(
     if staged.rows == 0:
         store.discard(staged)
         return LoadResult(table, RAW, NO_NEW_DATA, mark, mark, None, 0, rejected)
+    if not store.exists(RAW, table) and mark is not None:
+        # the batch holds only what is newer than the mark: a table made of it would lack all rows before
+        store.discard(staged)
+        raise LostTable(f"{RAW}.{table} is gone, but was loaded up to {mark}")
     if store.exists(RAW, table):
         counts = store.merge(RAW, table, staged, config.keys, **_parts(store, RAW, table, True))
         rows = _rows_after(store, RAW, table, counts)

@@ -1,16 +1,22 @@
 """Layer tables in the session catalog: snapshots under one root, switched by table location.
 
-Data are written to a new folder first; the catalog moves only after the write is complete. A table or partition
-that exists is pointed to its new folder in one step (``SET LOCATION``); a partition is dropped only if it is left
-without rows, and last. So a job that dies at any point loses no row for good: what the batch does not hold stays, a row of
-the batch that moves to another partition comes back when the load is run again. Superseded folders stay until ``superseded`` is asked for them and the caller deletes them.
+Data are written to a new folder first; the catalog moves only after the write is complete. A merge points each partition
+that exists to its new folder in one step (``SET LOCATION``); a partition is dropped only if it is left
+without rows, and last. A table written anew stands complete under another name; the old one is renamed away before the new one gets its
+name, and whoever finds neither in place finishes that swap. So a job that dies at any point loses no row for good: what the batch does not
+hold stays, a row of the batch that moves to another partition comes back when the load is run again. Superseded folders stay until
+``superseded`` is asked for them and the caller deletes them.
+
+Marks are an append-only log: each load adds a row of its own as a partition of its own, and the latest one of a table counts.
+Loads that run side by side change nothing of one another.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from operator import add, and_
@@ -18,7 +24,7 @@ from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql import types as T
 
 from tidewright.operators import watermark as wm
 from tidewright.operators.upsert import ACTION, check_source, merge_frame
@@ -28,11 +34,33 @@ from tidewright.sources.schema import plain_ddl
 # A staged batch is broadcast to its target only below both measured bounds; the session may set others.
 SMALL_ROWS = 2_000_000
 SMALL_BYTES = 256 * 1024 * 1024
+FRESH, OLD = "__fresh", "__old"  # names of a table while it is swapped
+MARK_LOG = "water_mark"
 KEY_PART = "key_part"  # a partition column that readers of a table do not see
 SMALL_ROWS_CONF, SMALL_BYTES_CONF = "spark.tidewright.merge.smallRows", "spark.tidewright.merge.smallBytes"
 VALUE_BYTES = 16  # upper estimate of a fixed-width value or of the overhead of a text
 
 
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+class TypeChange(ValueError):
+    """A batch whose column has a type that the stored one cannot be widened to."""
+
+
+def can_widen(old: T.DataType, new: T.DataType) -> bool:
+    """Whether files written with ``old`` can be read as ``new``, every value keeping its meaning."""
+    if old == new:
+        return True
+    if isinstance(old, _WHOLE) and isinstance(new, _WHOLE):
+        return _WHOLE.index(type(old)) < _WHOLE.index(type(new))
+    if isinstance(old, T.FloatType) and isinstance(new, T.DoubleType):
+        return True
+    if isinstance(old, T.DecimalType) and isinstance(new, T.DecimalType):
+        return new.scale >= old.scale and new.precision - new.scale >= old.precision - old.scale
+    return isinstance(old, T.DateType) and isinstance(new, T.TimestampNTZType)
+
+
 @dataclass(frozen=True)
 class Staged:
     """A batch written once: read back for the duplicate check, the merge and the next watermark."""
@@ -72,13 +100,28 @@ class Store:
         return f"{self.root}/{layer}/{table}/{uuid.uuid4().hex}"
 
     def exists(self, layer: str, table: str) -> bool:
+        """Whether there is such a table; one whose swap was interrupted gets its name back first."""
+        if self._named(layer, table):
+            return True
+        fresh, old = (self._named(layer, table + end) for end in (FRESH, OLD))
+        if not old:
+            return False
+        # the old table was renamed away: the fresh one is complete, if it is there
+        self._rename(layer, table + (FRESH if fresh else OLD), table)
+        return True
+
+    def _named(self, layer: str, table: str) -> bool:
         return self.spark.catalog.tableExists(self._plain(layer, table))
 
+    def _rename(self, layer: str, table: str, to: str) -> None:
+        self.spark.sql(f"ALTER TABLE {self.name(layer, table)} RENAME TO {self.name(layer, to)}")
+
     def read(self, layer: str, table: str) -> DataFrame:
         return self.stored(layer, table).drop(KEY_PART)
 
     def stored(self, layer: str, table: str) -> DataFrame:
         """The table with the columns that it is cut by."""
+        self.exists(layer, table)  # finishes an interrupted swap
         return self.spark.table(self.name(layer, table))
 
     def partition_column(self, layer: str, table: str) -> str | None:
@@ -142,17 +185,25 @@ class Store:
         held = [c.name for c in self.spark.catalog.listColumns(self._plain(layer, table)) if c.isPartition]
         return self.stored(layer, table).dtypes == df.dtypes and held == ([partition] if partition else [])
 
-    def _register(self, layer: str, table: str, df: DataFrame, path: str, partition: str | None = None, filled: bool = False) -> None:
-        """Table with a new layout: it stands complete under another name before the old one goes."""
-        fresh = f"{table}__fresh"
+    def _register(
+        self, layer: str, table: str, df: DataFrame, path: str, partition: str | None = None, filled: bool = False, places: Mapping[str, str] | None = None
+    ) -> None:
+        """The files of ``path`` as the table: complete under another name, then the old one is renamed away and it is renamed in."""
+        fresh = table + FRESH
+        held = self.exists(layer, table)
         layout = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
         parts = f"PARTITIONED BY (`{partition}`)" if partition else ""
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name(layer, fresh)}")
         self.spark.sql(f"CREATE TABLE {self.name(layer, fresh)} ({layout}) USING parquet {parts} LOCATION '{path}'")
         if filled:
             self.spark.catalog.recoverPartitions(self.name(layer, fresh))
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.name(layer, table)}")
-        self.spark.sql(f"ALTER TABLE {self.name(layer, fresh)} RENAME TO {self.name(layer, table)}")
+        for value, place in (places or {}).items():
+            self.spark.sql(f"ALTER TABLE {self.name(layer, fresh)} ADD PARTITION ({partition}='{value}') LOCATION '{place}'")
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name(layer, table + OLD)}")
+        if held:
+            self._rename(layer, table, table + OLD)
+        self._rename(layer, fresh, table)
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name(layer, table + OLD)}")
 
     def reload_partitioned(
         self, layer: str, table: str, df: DataFrame, partition: str, metrics: Sequence[Column] = (), sort: Sequence[str] = ()
@@ -212,7 +263,7 @@ class Store:
         path = scratch_path(self.spark, label)
         seen = Observation()
         newest = F.max(time_column) if time_column else F.max(F.lit(None))
-        texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in batch.schema if isinstance(f.dataType, StringType)]
+        texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in batch.schema if isinstance(f.dataType, T.StringType)]
         text_bytes = F.coalesce(F.sum(reduce(add, texts)), F.lit(0)) if texts else F.sum(F.lit(0))
         observed = batch.observe(
             seen,
@@ -241,7 +292,7 @@ class Store:
         With ``partition`` only the partitions that hold a matched row, or receive one, are rewritten. ``by_key`` says
         that the key decides the partition: then the batch alone tells which ones, and no other is read at all.
         """
-        target = self.stored(layer, table)
+        target = self._widened(layer, table, staged.frame)
         small = staged.small
         null_safe = rules.get("null_safe", False)
         metrics = [
@@ -266,6 +317,40 @@ class Store:
             counts = self.replace_partitions(layer, table, merged, partition, touched, metrics)
         return {**counts, "rows_changed": counts["inserted"] + counts["updated"]}
 
+    def _widened(self, layer: str, table: str, batch: DataFrame) -> DataFrame:
+        """The stored table with the columns and types that a merge of ``batch`` needs.
+
+        A column that only the batch has is added to the table, NULL in all its rows. A type is widened where every value keeps its
+        meaning: parts written before stay as they are and are read with the new layout. Other types are refused: a merge would cast them silently.
+        """
+        target = self.stored(layer, table)
+        held = {f.name.lower(): f for f in target.schema.fields}
+        added = [f for f in batch.schema.fields if f.name.lower() not in held]
+        wider = []
+        for field in batch.schema.fields:
+            old = held.get(field.name.lower())
+            if old is not None and old.dataType != field.dataType and not can_widen(field.dataType, old.dataType):
+                if not can_widen(old.dataType, field.dataType):
+                    raise TypeChange(f"{table}.{field.name}: {old.dataType.simpleString()} cannot become {field.dataType.simpleString()}")
+                wider.append((old.name, field.dataType))
+        if wider:
+            self._relayout(layer, table, dict(wider))
+        if added:
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
+            self.spark.sql(f"ALTER TABLE {self.name(layer, table)} ADD COLUMNS ({columns})")
+        if wider or added:
+            self.spark.catalog.refreshTable(self.name(layer, table))
+        return self.stored(layer, table)
+
+    def _relayout(self, layer: str, table: str, kinds: dict[str, T.DataType]) -> None:
+        """The same files under a table with other column types: no file is read or written, only the catalog's entry changes."""
+        name, partition = self.name(layer, table), self.partition_column(layer, table)
+        root = self._location(f"DESCRIBE FORMATTED {name}")
+        places = {v: self._location(f"DESCRIBE FORMATTED {name} PARTITION ({partition}='{v}')") for v in self.partitions(layer, table)} if partition else {}
+        frame = self.stored(layer, table)
+        frame = frame.select(*[F.col(f"`{f.name}`").cast(kinds.get(f.name, f.dataType)).alias(f.name) for f in frame.schema.fields])
+        self._register(layer, table, frame, root, partition, places=places)
+
     def discard(self, staged: Staged) -> None:
         """Delete a staged batch once its load is complete."""
         folder = self.spark._jvm.org.apache.hadoop.fs.Path(staged.path)
@@ -274,9 +359,10 @@ class Store:
     # ---- watermarks -------------------------------------------------------------------------------
 
     def marks(self, layer: str) -> DataFrame:
-        if not self.exists(layer, "water_mark"):
+        """The latest row of every table in the log; a NULL mark keeps the one before."""
+        if not self.exists(layer, MARK_LOG):
             return wm.empty_watermarks(self.spark)
-        return self.read(layer, "water_mark")
+        return wm.latest(self.spark.table(self.name(layer, MARK_LOG)))
 
     def mark(self, layer: str, table: str):
         return wm.last_mark(self.marks(layer), table, layer)
@@ -287,5 +373,32 @@ class Store:
         return row[0] if row else None
 
     def advance(self, layer: str, table: str, mark, load_ts, row_count, rows_changed) -> None:
-        row = wm.mark_row(self.spark, table, layer, mark, load_ts, row_count, rows_changed)
-        self.replace(layer, "water_mark", wm.record(self.marks(layer), row).coalesce(1))
+        """A row more in the log of marks (I4). No row is read or replaced, so loads of other tables may do the same at any time."""
+        self._append_marks(layer, wm.mark_row(self.spark, table, layer, mark, load_ts, row_count, rows_changed), self._run_number())
+
+    def _run_number(self) -> str:
+        """Later runs have larger numbers; two of the same instant differ, too."""
+        return f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+
+    def _append_marks(self, layer: str, rows: DataFrame, run: str) -> None:
+        self._database(layer)
+        path = self._fresh_path(layer, MARK_LOG)
+        rows.coalesce(1).write.mode("errorifexists").parquet(path)
+        name = self.name(layer, MARK_LOG)
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {name} ({wm.WATERMARK_DDL}, run string) USING parquet PARTITIONED BY (run) LOCATION '{self._fresh_path(layer, MARK_LOG)}'"
+        )
+        self.spark.sql(f"ALTER TABLE {name} ADD PARTITION (run='{run}') LOCATION '{path}'")
+        self.spark.catalog.refreshTable(name)
+
+    def compact_marks(self, layer: str) -> int:
+        """One row per table and layer in place of all rows logged so far; rows added meanwhile stay. Returns how many runs were folded."""
+        runs = sorted(self.partitions(layer, MARK_LOG)) if self.exists(layer, MARK_LOG) else []
+        if len(runs) < 2:
+            return 0
+        folded = wm.latest(self.spark.table(self.name(layer, MARK_LOG)).filter(F.col("run") <= runs[-1]))
+        self._append_marks(layer, folded, f"{runs[-1]}-folded")  # sorts behind all of them and before any later one
+        for run in runs:
+            self.spark.sql(f"ALTER TABLE {self.name(layer, MARK_LOG)} DROP IF EXISTS PARTITION (run='{run}')")
+        self.spark.catalog.refreshTable(self.name(layer, MARK_LOG))
+        return len(runs)
