@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
+from operator import and_
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.catalog.entities import conform_copies
 from tidewright.catalog.registry import query, table
 from tidewright.catalog.standins import LOAD_TS, MARK, Tables, sql
+from tidewright.operators.profile import QUANTILES
 from tidewright.plans import loads
 from tidewright.plans.layouts import star_layout
 from tidewright.plans.star import dimension_load
-from tidewright.session import scratch_path
+from tidewright.session import scratch_path, written
 from tidewright.sources.schema import length_checked
 from tidewright.sources.store import SMALL_ROWS_CONF, Store
 
@@ -117,6 +121,102 @@ def o1_sorted_snapshot(spark, sf):
     return store.read("raw", "orders").filter(F.col("o_orderdate") >= F.lit("1999-01-01").cast("date"))
 
 
+@query(
+    "s5_quarantine",
+    sql(
+        f"""SELECT CAST(SalesOrderID AS VARCHAR) AS source_key, u.c AS column_name, u.v AS raw_value, 'not a ' || u.k AS reason, TIMESTAMP '{LOAD_TS}' AS load_time
+           FROM x_header, LATERAL (SELECT 'CustomerID' AS c, 'c-' || CustomerID AS v, 'int' AS k WHERE SalesOrderID % 50 = 3
+             UNION ALL SELECT 'OrderDate', 'soon', 'timestamp' WHERE SalesOrderID % 70 = 3) u""",
+        "header",
+    ),
+)
+def s5_quarantine(spark, sf):
+    """Rejected raw values of a full and an incremental load, each written in the pass that wrote its rows."""
+    store, landed = _store(spark), Tables(spark, sf).header()
+    order = F.col("SalesOrderID")
+    bad = landed.withColumns({
+        "CustomerID": F.when(order % 50 == 3, F.concat(F.lit("c-"), F.col("CustomerID").cast("string"))).otherwise(F.col("CustomerID").cast("string")),
+        "OrderDate": F.when(order % 70 == 3, F.lit("soon")).otherwise(F.col("OrderDate").cast("string")),
+    })
+    loads.load_raw_full(store, "sales_order_header", bad.filter(F.col("ModifiedDate") <= F.lit(MARK)), LOAD_TS)
+    loads.load_raw_incremental(store, "sales_order_header", bad, LOAD_TS)
+    return store.rejects("raw", "sales_order_header").drop("table_name")
+
+
+_PROFILED = {"l_orderkey": True, "l_partkey": True, "l_quantity": True, "l_shipdate": True, "l_returnflag": False}
+
+
+@query(
+    "d2_profile",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS nulls,
+            {f"CAST({e('min', c)} AS DOUBLE)" if number else "NULL"} AS least_number, {f"CAST({e('max', c)} AS DOUBLE)" if number else "NULL"} AS greatest_number,
+            {"NULL" if number else f"min({c})"} AS least_text, {"NULL" if number else f"max({c})"} AS greatest_text,
+            true AS distinct_within_5_percent, true AS quantiles_within_2_percent FROM lineitem"""
+        for c, number in _PROFILED.items()
+        for e in [lambda f, x: f"epoch({f}({x}))" if x == "l_shipdate" else f"{f}({x})"]
+    ),
+)
+def d2_profile(spark, sf):
+    """Profiles of three loads merged without reading their rows again; the estimates are held against exact counts and ranks."""
+    lines = table(spark, sf, "lineitem").select(*_PROFILED)
+    store = _store(spark)
+    for third in range(3):
+        store.keep_profile("raw", "lines", lines.filter(F.col("l_orderkey") % 3 == third))
+    found = written(store.profile("raw", "lines"), "profile")
+    exact = []
+    for c, number in _PROFILED.items():
+        value = F.unix_micros(F.col(c).cast("timestamp")) / 1e6 if c == "l_shipdate" else F.col(c).cast("double") if number else F.lit(0.0)
+        estimates = found.filter(F.col("column_name") == c).select("quantiles", "distinct_values")  # one row
+        ranks = [F.count_if(value < F.col("quantiles")[i]).alias(f"below{i}") for i in range(5)] + [F.count_if(value <= F.col("quantiles")[i]).alias(f"upto{i}") for i in range(5)]
+        sums = lines.crossJoin(F.broadcast(estimates)).agg(
+            F.count_distinct(c).alias("exact"), F.max("distinct_values").alias("about"), F.count(F.col(c)).alias("n"), *ranks
+        )
+        near = F.abs(F.col("exact") - F.col("about")) <= F.greatest(F.lit(1), F.col("exact") * 0.05)
+        within = [(F.col(f"below{i}") <= (q + 0.02) * F.col("n")) & (F.col(f"upto{i}") >= (q - 0.02) * F.col("n")) for i, q in enumerate(QUANTILES)]
+        exact.append(sums.select(F.lit(c).alias("column_name"), near.alias("distinct_within_5_percent"), (reduce(and_, within) if number else F.lit(True)).alias("quantiles_within_2_percent")))
+    checks = reduce(DataFrame.unionByName, exact)
+    return found.drop("quantiles", "frequent", "distinct_values").join(checks, "column_name")
+
+
+@query(
+    "i5_marks_side_by_side",
+    """SELECT table_name, 'raw' AS layer_type, CAST(newest AS TIMESTAMP) AS max_modified_date, rows AS row_count
+       FROM (SELECT 'orders' AS table_name, max(o_orderdate) AS newest, count(*) AS rows FROM orders
+             UNION ALL SELECT 'lineitem', max(l_shipdate), count(*) FROM lineitem)""",
+)
+def i5_marks_side_by_side(spark, sf):
+    """Two loads that have both read the log before either writes to it; the log is folded in between."""
+    first = _store(spark)
+    second = Store(spark, first.root, first.prefix)
+    orders, lines = (table(spark, sf, t).agg(F.max(c).alias("newest"), F.count(F.lit(1)).alias("n")).first() for t, c in (("orders", "o_orderdate"), ("lineitem", "l_shipdate")))
+    first.advance("raw", "orders", MARK, LOAD_TS, 0, 0)
+    for store in (first, second):
+        store.mark("raw", "orders")
+    second.advance("raw", "lineitem", lines["newest"], LOAD_TS, lines["n"], lines["n"])
+    first.advance("raw", "orders", orders["newest"], LOAD_TS, orders["n"], orders["n"])
+    first.compact_marks("raw")
+    first.advance("raw", "orders", None, LOAD_TS, orders["n"], 0)  # no new data: the mark stays
+    return first.marks("raw").select("table_name", "layer_type", "max_modified_date", "row_count")
+
+
+@query(
+    "s6_evolved_merge",
+    """SELECT o_orderkey AS order_id, CAST(CASE WHEN o_orderkey % 7 = 0 THEN o_orderkey + 5000000000 ELSE o_custkey END AS BIGINT) AS customer,
+         CASE WHEN o_orderkey % 7 = 0 THEN 'new' END AS note FROM orders""",
+)
+def s6_evolved_merge(spark, sf):
+    """A batch with a wider and a new column merged into a stored table; parts that it does not touch are read with the new layout."""
+    store, month = _store(spark), F.date_format("o_orderdate", "yyyy-MM").alias("month_part")
+    orders = table(spark, sf, "orders")
+    store.reload_partitioned("raw", "orders", orders.select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").cast("int").alias("customer"), month), "month_part")
+    batch = orders.filter("o_orderkey % 7 = 0").select(
+        F.col("o_orderkey").alias("order_id"), (F.col("o_orderkey") + F.lit(5_000_000_000)).cast("long").alias("customer"), F.lit("new").alias("note"), month
+    )
+    store.merge("raw", "orders", store.stage(batch, None, "orders"), ["order_id"], partition="month_part")
+    return store.read("raw", "orders").select("order_id", "customer", "note")
+
+
 @query("s12_preview", "SELECT least(5, count(*)) AS rows FROM orders")
 def s12_preview(spark, sf):
     """The first rows of a loaded table."""

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -28,7 +28,7 @@ from tidewright.plans.layouts import CONFORMED, DIMENSION_KEYS, STAR_FACTS, star
 from tidewright.plans.sales import SALES_UPDATE, sales_changed, sales_full
 from tidewright.sources.landing import full_extract, incremental_extract
 from tidewright.sources.raw_tables import RAW_TABLES
-from tidewright.sources.schema import length_checked, reject_metrics
+from tidewright.sources.schema import REJECT_TYPE, REJECTS, length_checked, reject_metrics, reject_rows, rejected_values
 from tidewright.sources.store import KEY_PART, Store
 
 RAW, CONFORMED_LAYER, STAR = "raw", "conformed", "star"
@@ -123,16 +123,28 @@ def load_raw_full(store: Store, table: str, landed: DataFrame, load_ts: dt.datet
     if landed.isEmpty():
         raise EmptySource(table)
     rejects = Observation()  # counted in the pass that writes the table
-    rows = full_extract(landed.observe(rejects, *reject_metrics(landed, config.schema)), config)
+    bad = rejected_values(landed, config.schema, config.keys)
+    rows = full_extract(landed.observe(rejects, *reject_metrics(landed, config.schema)), config, *([bad] if config.keys else []))
     metrics = [F.max(config.time_column).cast("timestamp_ntz").alias("newest")] if config.time_column else []
-    counts = store.reload_partitioned(RAW, table, by_key(rows, config.keys), KEY_PART, metrics) if config.keys else store.replace(RAW, table, rows, metrics)
+    counts = (
+        store.reload_partitioned(RAW, table, by_key(rows, config.keys), KEY_PART, metrics, hidden=[REJECTS])
+        if config.keys
+        else store.replace(RAW, table, rows, metrics)
+    )
     mark = next_mark(counts.get("newest"), None, load_ts, "data_or_now")
     written = counts["row_count_written"]
     store.advance(RAW, table, mark, load_ts, written, written)
     rejected = {name.removeprefix("rejected_"): n for name, n in rejects.get.items() if n}
+    if rejected and config.keys:
+        _quarantine(store, table, store.spark.read.schema(f"{REJECTS} {REJECT_TYPE}").parquet(counts["path"]), load_ts)
     return LoadResult(table, RAW, SUCCESS, None, mark, written, written, rejected)
 
 
+def _quarantine(store: Store, table: str, written: DataFrame, load_ts: dt.datetime) -> None:
+    """Rejected values of a batch that is written with them; only they are read from it, the landing is not scanned again."""
+    store.keep_rejects(RAW, table, load_ts, reject_rows(written))
+
+
 def load_raw_incremental(
     store: Store,
     table: str,
@@ -147,9 +159,13 @@ def load_raw_incremental(
     mark = store.mark(RAW, table)
     rejects = Observation()  # counted on the whole landing, in the pass that stages the batch
     seen = landed.observe(rejects, *reject_metrics(landed, config.schema))
-    batch = by_key(incremental_extract(seen, config, mark, lookback), config.keys)
+    bad = rejected_values(landed, config.schema, config.keys)
+    batch = by_key(incremental_extract(seen, config, mark, lookback, bad), config.keys)
     staged = store.stage(batch, config.time_column, f"raw-{table}")
     rejected = {name.removeprefix("rejected_"): n for name, n in rejects.get.items() if n}
+    if rejected:
+        _quarantine(store, table, staged.frame, load_ts)
+    staged = replace(staged, frame=staged.frame.drop(REJECTS))
     if staged.rows == 0:
         store.discard(staged)
         return LoadResult(table, RAW, NO_NEW_DATA, mark, mark, None, 0, rejected)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -64,12 +64,12 @@ def newer_rows(
     return df.filter(F.col(time_column) > F.lit(mark - lookback))
 
 
-def full_extract(raw: DataFrame, table: RawTable) -> DataFrame:
-    return apply_schema(raw, table.schema)
+def full_extract(raw: DataFrame, table: RawTable, *more: Column) -> DataFrame:
+    return apply_schema(raw, table.schema, *more)
 
 
 def incremental_extract(
-    raw: DataFrame, table: RawTable, mark: dt.datetime | None, lookback: dt.timedelta = dt.timedelta(0)
+    raw: DataFrame, table: RawTable, mark: dt.datetime | None, lookback: dt.timedelta = dt.timedelta(0), *more: Column
 ) -> DataFrame:
     """Typed sources are filtered on the bare column; of text sources rows whose time cannot be read are kept as well."""
     if table.time_column is None:
@@ -77,9 +77,9 @@ def incremental_extract(
     kind = raw.schema[table.time_column].dataType
     if isinstance(kind, T.StringType):
         if mark is None:
-            return apply_schema(raw, table.schema)
+            return apply_schema(raw, table.schema, *more)
         # a time that is there but cannot be read keeps its row: it is counted, never dropped
         time = F.try_to_timestamp(F.col(f"`{table.time_column}`"))
         unread = F.col(f"`{table.time_column}`").isNotNull() & time.isNull()
-        return apply_schema(raw.filter(unread | (time > F.lit(mark - lookback))), table.schema)
-    return apply_schema(newer_rows(raw, table.time_column, mark, lookback), table.schema)
+        return apply_schema(raw.filter(unread | (time > F.lit(mark - lookback))), table.schema, *more)
+    return apply_schema(newer_rows(raw, table.time_column, mark, lookback), table.schema, *more)

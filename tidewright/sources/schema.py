@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -91,8 +92,8 @@ def _cast(column: str, wanted: T.DataType, present: T.DataType) -> Column:
     return raw.try_cast(wanted)
 
 
-def apply_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Columns in declared order, each cast on its own; bad values become NULL, missing columns NULL."""
+def apply_schema(df: DataFrame, schema: T.StructType, *more: Column) -> DataFrame:
+    """Columns in declared order, each cast on its own; bad values become NULL, missing columns NULL. ``more`` are added as they are."""
     present = {f.name: f.dataType for f in df.schema.fields}
     return df.select(
         *[
@@ -100,7 +101,8 @@ def apply_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
                 f.name
             )
             for f in schema.fields
-        ]
+        ],
+        *more,
     )
 
 
@@ -116,6 +118,41 @@ def reject_metrics(df: DataFrame, schema: T.StructType) -> list[Column]:
     ]
 
 
+REJECTS = "_rejects"
+
+
+def rejected_values(df: DataFrame, schema: T.StructType, keys: Sequence[str] = ()) -> Column:
+    """Per row the values that were present but could not be cast, with their column, text and reason, and the row's key as it came.
+
+    Appended to the cast columns it is written in the same pass as they are; rows without rejects hold NULL.
+    """
+    present = {f.name: f.dataType for f in df.schema.fields}
+    key = F.concat_ws("|", *[F.coalesce(_bare_name(k).cast("string"), F.lit("")) for k in keys if k in present])
+    found = [
+        F.when(
+            _bare_name(f.name).isNotNull() & _cast(f.name, f.dataType, present[f.name]).isNull(),
+            F.struct(
+                key.alias("source_key"), F.lit(f.name).alias("column_name"), _bare_name(f.name).cast("string").alias("raw_value"),
+                F.lit(f"not a {f.dataType.simpleString()}").alias("reason"),
+            ),
+        )
+        for f in schema.fields
+        if f.name in present and present[f.name] != f.dataType
+    ]
+    if not found:
+        return F.lit(None).cast(REJECT_TYPE).alias(REJECTS)
+    kept = F.filter(F.array(*found), lambda x: x.isNotNull())
+    return F.when(F.size(kept) > 0, kept).cast(REJECT_TYPE).alias(REJECTS)
+
+
+REJECT_TYPE = "array<struct<source_key:string,column_name:string,raw_value:string,reason:string>>"
+
+
+def reject_rows(frame: DataFrame) -> DataFrame:
+    """One row per rejected value of a written frame that holds ``REJECTS``; no other column is read."""
+    return frame.filter(F.col(REJECTS).isNotNull()).select(F.inline(REJECTS))
+
+
 def reject_counts(df: DataFrame, schema: T.StructType) -> DataFrame:
     """One row with the reject count of every declared column."""
     return df.agg(*reject_metrics(df, schema))

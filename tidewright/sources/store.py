@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewright.operators import profile
 from tidewright.operators import watermark as wm
 from tidewright.operators.upsert import ACTION, check_source, merge_frame
 from tidewright.session import scratch_path
@@ -35,7 +36,8 @@ from tidewright.sources.schema import plain_ddl
 SMALL_ROWS = 2_000_000
 SMALL_BYTES = 256 * 1024 * 1024
 FRESH, OLD = "__fresh", "__old"  # names of a table while it is swapped
-MARK_LOG = "water_mark"
+MARK_LOG, QUARANTINE, PROFILES = "water_mark", "quarantine", "column_profile"
+QUARANTINE_DDL = "table_name string, load_time timestamp, source_key string, column_name string, raw_value string, reason string"
 KEY_PART = "key_part"  # a partition column that readers of a table do not see
 SMALL_ROWS_CONF, SMALL_BYTES_CONF = "spark.tidewright.merge.smallRows", "spark.tidewright.merge.smallBytes"
 VALUE_BYTES = 16  # upper estimate of a fixed-width value or of the overhead of a text
@@ -206,15 +208,18 @@ class Store:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name(layer, table + OLD)}")
 
     def reload_partitioned(
-        self, layer: str, table: str, df: DataFrame, partition: str, metrics: Sequence[Column] = (), sort: Sequence[str] = ()
+        self, layer: str, table: str, df: DataFrame, partition: str, metrics: Sequence[Column] = (), sort: Sequence[str] = (), hidden: Sequence[str] = ()
     ) -> dict:
-        """Whole table written anew in partitions (M5, D7); registered only when the files are complete."""
+        """Whole table written anew in partitions (M5, D7); registered only when the files are complete.
+
+        ``hidden`` columns are in the files, but not in the table: the caller may read them from ``path``, which is among the counts.
+        """
         path = self._fresh_path(layer, table)
         self._database(layer)
         counts, filled = self._write_parts(df, path, partition, metrics, sort)
-        self._register(layer, table, df.drop(ACTION), path, partition, bool(filled))
+        self._register(layer, table, df.drop(ACTION, *hidden), path, partition, bool(filled))
         self.spark.catalog.refreshTable(self.name(layer, table))
-        return counts
+        return {**counts, "path": path}
 
     def replace_partitions(
         self, layer: str, table: str, df: DataFrame, partition: str, touched: Sequence[str], metrics: Sequence[Column] = ()
@@ -374,30 +379,49 @@ class Store:
 
     def advance(self, layer: str, table: str, mark, load_ts, row_count, rows_changed) -> None:
         """A row more in the log of marks (I4). No row is read or replaced, so loads of other tables may do the same at any time."""
-        self._append_marks(layer, wm.mark_row(self.spark, table, layer, mark, load_ts, row_count, rows_changed), self._run_number())
+        self._append(layer, MARK_LOG, wm.WATERMARK_DDL, wm.mark_row(self.spark, table, layer, mark, load_ts, row_count, rows_changed).coalesce(1), self._run_number())
 
     def _run_number(self) -> str:
         """Later runs have larger numbers; two of the same instant differ, too."""
         return f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
 
-    def _append_marks(self, layer: str, rows: DataFrame, run: str) -> None:
+    def _append(self, layer: str, log: str, ddl: str, rows: DataFrame, run: str) -> None:
+        """Rows of one run as a partition of their own of a log table; nothing that is there is read or changed."""
         self._database(layer)
-        path = self._fresh_path(layer, MARK_LOG)
-        rows.coalesce(1).write.mode("errorifexists").parquet(path)
-        name = self.name(layer, MARK_LOG)
-        self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {name} ({wm.WATERMARK_DDL}, run string) USING parquet PARTITIONED BY (run) LOCATION '{self._fresh_path(layer, MARK_LOG)}'"
-        )
+        path, name = self._fresh_path(layer, log), self.name(layer, log)
+        rows.write.mode("errorifexists").parquet(path)
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}, run string) USING parquet PARTITIONED BY (run) LOCATION '{self._fresh_path(layer, log)}'")
         self.spark.sql(f"ALTER TABLE {name} ADD PARTITION (run='{run}') LOCATION '{path}'")
         self.spark.catalog.refreshTable(name)
 
+    def keep_rejects(self, layer: str, table: str, load_ts: dt.datetime, rejects: DataFrame) -> None:
+        """Rejected values of a load (S5), one row each: source_key, column_name, raw_value, reason."""
+        named = [F.lit(table).alias("table_name"), F.lit(load_ts).cast("timestamp").alias("load_time")]
+        self._append(layer, QUARANTINE, QUARANTINE_DDL, rejects.select(*named, "source_key", "column_name", "raw_value", "reason"), self._run_number())
+
+    def rejects(self, layer: str, table: str) -> DataFrame:
+        """All rejected values of a table's loads, with the load time."""
+        if not self.exists(layer, QUARANTINE):
+            return self.spark.createDataFrame([], QUARANTINE_DDL)
+        return self.read(layer, QUARANTINE).filter(F.col("table_name") == table).drop("run")
+
+    def keep_profile(self, layer: str, table: str, rows: DataFrame, columns: Sequence[str] | None = None) -> None:
+        """The profile of what a load brought (D2), beside those of the loads before it."""
+        state = profile.profile_state(rows, columns).withColumn("table_name", F.lit(table))
+        self._append(layer, PROFILES, f"{profile.STATE_DDL}, table_name string", state.coalesce(1), self._run_number())
+
+    def profile(self, layer: str, table: str) -> DataFrame:
+        """The profile of all loads of a table together; no row of the table is read."""
+        states = self.read(layer, PROFILES).filter(F.col("table_name") == table).drop("run", "table_name")
+        return profile.described(profile.merged_profiles(states))
+
     def compact_marks(self, layer: str) -> int:
         """One row per table and layer in place of all rows logged so far; rows added meanwhile stay. Returns how many runs were folded."""
         runs = sorted(self.partitions(layer, MARK_LOG)) if self.exists(layer, MARK_LOG) else []
         if len(runs) < 2:
             return 0
         folded = wm.latest(self.spark.table(self.name(layer, MARK_LOG)).filter(F.col("run") <= runs[-1]))
-        self._append_marks(layer, folded, f"{runs[-1]}-folded")  # sorts behind all of them and before any later one
+        self._append(layer, MARK_LOG, wm.WATERMARK_DDL, folded.coalesce(1), f"{runs[-1]}-folded")  # sorts behind all of them and before any later one
         for run in runs:
             self.spark.sql(f"ALTER TABLE {self.name(layer, MARK_LOG)} DROP IF EXISTS PARTITION (run='{run}')")
         self.spark.catalog.refreshTable(self.name(layer, MARK_LOG))
