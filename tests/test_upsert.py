@@ -130,3 +130,32 @@ def test_recording_a_mark_is_an_upsert_per_table_and_layer(spark):
         ("raw", at(1), at(3), 7, 0),
         ("star", at(2), at(2), 6, 6),
     ]
+
+
+def test_merge_statements_follow_the_rules():
+    from tidewright.operators.upsert import NotExpressible, date_differs, hash_differs, merge_statement
+
+    plain = merge_statement("`c`.`t`", "b", ["id", "v", "more"], ["id", "v"], ["id"])  # M1
+    assert plain.splitlines() == [
+        "MERGE INTO `c`.`t` AS t USING b AS s",
+        "ON t.`id` = s.`id`",
+        "WHEN MATCHED THEN UPDATE SET t.`v` = s.`v`",
+        "WHEN NOT MATCHED THEN INSERT (`id`, `v`, `more`) VALUES (s.`id`, s.`v`, NULL)",
+    ]
+    keys = merge_statement("t", "b", ["a", "d", "v"], ["a", "d", "v"], ["a", "d"], null_safe=True)  # M2
+    assert "ON t.`a` <=> s.`a` AND t.`d` <=> s.`d`" in keys
+    hashed = merge_statement("t", "b", ["id", "v", "row_hash"], ["id", "v", "row_hash"], ["id"], update=["v", "row_hash"], when=hash_differs())  # M3
+    assert "WHEN MATCHED AND t.`row_hash` <> s.`row_hash` THEN UPDATE SET t.`v` = s.`v`, t.`row_hash` = s.`row_hash`" in hashed
+    dated = merge_statement("t", "b", ["id", "v"], ["id", "w", "modified_date"], ["id"], update={"v": "w"}, insert={"id": "id", "v": "w"}, when=date_differs())  # M4
+    assert "WHEN MATCHED AND t.`modified_date` <> s.`modified_date` THEN UPDATE SET t.`v` = s.`w`" in dated and "VALUES (s.`id`, s.`w`)" in dated
+    with pytest.raises(NotExpressible):
+        merge_statement("t", "b", ["id"], ["id"], ["id"], when=lambda old, new: old("x") > new("x"))
+
+
+def test_merge_statements_are_read_as_merges(spark):
+    """The text is parsed, nothing is run: tables here have no transactions."""
+    from tidewright.operators.upsert import hash_differs, merge_statement
+
+    text = merge_statement("`c`.`t`", "b", ["id", "row_hash"], ["id", "row_hash"], ["id"], when=hash_differs())
+    plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(text).toString()
+    assert plan.startswith("'MergeIntoTable") and "updateaction" in plan.lower() and "insertaction" in plan.lower()

@@ -373,6 +373,20 @@ def d1_rowcount_reconcile(spark, sf):
     return quality.reconcile(raw, conformed)
 
 
+@query(
+    "d1_differing_rows",
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 1000 = 7 THEN 'changed' WHEN o_orderkey % 1000 = 8 THEN 'left only' ELSE 'right only' END AS difference
+       FROM orders WHERE o_orderkey % 1000 IN (7, 8) UNION ALL SELECT -1 - o_orderkey, 'right only' FROM orders WHERE o_orderkey % 1000 = 9""",
+)
+def d1_differing_rows(spark, sf):
+    """A copy with changed, missing and additional rows, held against its source range by range."""
+    orders = table(spark, sf, "orders")
+    kind = F.col("o_orderkey") % 1000
+    copy = orders.filter(kind != 8).withColumn("o_orderstatus", F.when(kind == 7, F.lit("?")).otherwise(F.col("o_orderstatus")))
+    more = orders.filter(kind == 9).withColumn("o_orderkey", (-1 - F.col("o_orderkey")).cast(orders.schema["o_orderkey"].dataType))
+    return quality.differing_rows(orders, copy.unionByName(more).repartition(3), ["o_orderkey"], width=50)
+
+
 @query(
     "d2_null_profile",
     _gl_sql(

@@ -19,6 +19,7 @@ from tidewright.plans.star import dimension_load
 from tidewright.session import scratch_path, written
 from tidewright.sources.schema import length_checked
 from tidewright.sources.store import SMALL_ROWS_CONF, Store
+from tidewright.streaming.micro_batches import landing_stream, merge_batch, merge_batches
 
 
 def _store(spark) -> Store:
@@ -217,6 +218,25 @@ def s6_evolved_merge(spark, sf):
     return store.read("raw", "orders").select("order_id", "customer", "note")
 
 
+@query(
+    "s15_micro_batches",
+    """SELECT o_orderkey AS order_id, o_orderdate AS changed, CASE WHEN o_orderkey % 3 = 0 THEN 'again-' ELSE '' END || o_orderstatus AS status FROM orders""",
+)
+def s15_micro_batches(spark, sf):
+    """Landing files taken by two runs of a stream; then its first batch is replayed with other contents and is fenced off."""
+    store, landing, place = _store(spark), scratch_path(spark, "landing"), scratch_path(spark, "stream")
+    orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("order_id"), F.col("o_orderdate").cast("timestamp").alias("changed"), F.col("o_orderstatus").alias("status"))
+    first = orders.withColumn("changed", F.col("changed") - F.expr("INTERVAL 1 DAY")).filter("order_id % 3 = 0 OR order_id % 3 = 1")
+    again = orders.filter("order_id % 3 = 0").withColumn("status", F.concat(F.lit("again-"), "status"))
+    for rows in (first.withColumn("changed", F.when(F.col("order_id") % 3 == 1, F.col("changed") + F.expr("INTERVAL 1 DAY")).otherwise(F.col("changed"))), again.unionByName(orders.filter("order_id % 3 = 2"))):
+        rows.write.mode("append").parquet(landing)
+        stream = landing_stream(spark, landing, rows.schema)
+        merge_batches(stream, store, "raw", "orders", ["order_id"], "changed", checkpoint=place).awaitTermination()
+    if merge_batch(store, "raw", "orders", ["order_id"], "changed", place, first.withColumn("status", F.lit("stale")), 0):
+        raise AssertionError("a replayed batch was merged again")
+    return store.read("raw", "orders")
+
+
 @query("s12_preview", "SELECT least(5, count(*)) AS rows FROM orders")
 def s12_preview(spark, sf):
     """The first rows of a loaded table."""

@@ -5,10 +5,13 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tidewright.session import written
 from tidewright.sources.schema import split_ddl
 
 
@@ -26,6 +29,56 @@ def reconcile(left: Mapping[str, DataFrame], right: Mapping[str, DataFrame]) ->
     return joined.withColumn("difference", F.coalesce("left_count", F.lit(0)) - F.coalesce("right_count", F.lit(0)))
 
 
+RANGE_KEYS = 100_000  # values of a whole-number key in one range
+RANGE_BUCKETS = 4_096  # ranges of the hash of any other key
+
+
+def _range(df: DataFrame, keys: Sequence[str], width: int) -> Column:
+    first = df.schema[keys[0]].dataType
+    part = F.floor(F.col(f"`{keys[0]}`") / width) if isinstance(first, T.IntegralType) else F.pmod(F.xxhash64(*keys), F.lit(RANGE_BUCKETS))
+    return F.coalesce(part.cast("long"), F.lit(-1).cast("long"))
+
+
+def _row_hash(df: DataFrame, columns: Sequence[str]) -> Column:
+    """Of the named columns in their order; a NULL is told from an empty text and from a NULL in another column."""
+    values = [F.col(f"`{c}`") for c in columns]
+    return F.xxhash64(*values, *[v.isNull() for v in values])
+
+
+def content_sums(df: DataFrame, keys: Sequence[str], columns: Sequence[str], width: int = RANGE_KEYS) -> DataFrame:
+    """Per range of keys its rows and the sum of their hashes, which does not depend on their order (D1). One partial row per range and task is shuffled."""
+    hashed = df.select(_range(df, keys, width).alias("key_range"), _row_hash(df, columns).cast("decimal(20,0)").alias("h"))
+    return hashed.groupBy("key_range").agg(F.count(F.lit(1)).alias("row_count"), F.sum("h").alias("content"))
+
+
+def differing_ranges(left: DataFrame, right: DataFrame, keys: Sequence[str], width: int = RANGE_KEYS) -> DataFrame:
+    """Ranges of keys in which two tables of the same columns do not hold the same rows (D1): found by their sums, no row is joined."""
+    columns = sorted(left.columns)
+    if columns != sorted(right.columns):
+        raise ValueError("the tables have different columns")
+    a, b = (content_sums(df, keys, columns, width).withColumnsRenamed({"row_count": f"{n}_count", "content": f"{n}_content"}) for df, n in ((left, "left"), (right, "right")))
+    both = a.join(b, "key_range", "full_outer")
+    same = F.col("left_content").eqNullSafe(F.col("right_content")) & F.col("left_count").eqNullSafe(F.col("right_count"))
+    return both.filter(~same).select("key_range", *[F.coalesce(f"{n}_count", F.lit(0)).alias(f"{n}_count") for n in ("left", "right")])
+
+
+def differing_rows(left: DataFrame, right: DataFrame, keys: Sequence[str], width: int = RANGE_KEYS) -> DataFrame:
+    """Keys whose rows differ, with ``difference``: changed, left only or right only (D1). Only rows of differing ranges are compared one by one."""
+    columns = sorted(left.columns)
+    ranges = written(differing_ranges(left, right, keys, width), "ranges").select("key_range")
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        rows = df.withColumn("key_range", _range(df, keys, width)).join(ranges, "key_range", "left_semi")
+        hashed = rows.select(*[F.col(f"`{k}`") for k in keys], _row_hash(df, columns).cast("decimal(20,0)").alias("h"))
+        return hashed.groupBy(*keys).agg(F.struct(F.count(F.lit(1)), F.sum("h")).alias(name))  # keys may repeat
+
+    a, b = side(left, "_left"), side(right, "_right").withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    on = reduce(and_, [F.col(f"`{k}`").eqNullSafe(F.col(f"`_r_{k}`")) for k in keys])
+    both = a.join(b, on, "full_outer").filter(~F.col("_left").eqNullSafe(F.col("_right")))
+    kind = F.when(F.col("_right").isNull(), "left only").when(F.col("_left").isNull(), "right only").otherwise("changed")
+    return both.select(*[F.when(F.col("_left").isNull(), F.col(f"`_r_{k}`")).otherwise(F.col(f"`{k}`")).alias(k) for k in keys], kind.alias("difference"))
+
+
 def null_profile(df: DataFrame) -> DataFrame:
     """Per column: nulls and rows (D2). All counts come from one aggregate, unpivoted afterwards."""
     counts = df.agg(

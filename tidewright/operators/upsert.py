@@ -9,6 +9,7 @@ target side and inserted from the source side. ``null_safe`` makes NULL keys equ
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -21,14 +22,27 @@ _IN_TARGET, _IN_SOURCE = "_in_target", "_in_source"
 Condition = Callable[[Callable[[str], Column], Callable[[str], Column]], Column]
 
 
+@dataclass(frozen=True)
+class Differs:
+    """A condition that holds where a column has another value; NULL on either side does not count as another one."""
+
+    column: str
+
+    def __call__(self, target: Callable[[str], Column], source: Callable[[str], Column]) -> Column:
+        return target(self.column) != source(self.column)
+
+    def sql(self) -> str:
+        return f"t.`{self.column}` <> s.`{self.column}`"
+
+
 def hash_differs(column: str = "row_hash") -> Condition:
     """Update only rows whose hash changed (M3)."""
-    return lambda target, source: target(column) != source(column)
+    return Differs(column)
 
 
 def date_differs(column: str = "modified_date") -> Condition:
     """Update only rows whose modified time changed (M4)."""
-    return lambda target, source: target(column) != source(column)
+    return Differs(column)
 
 
 def _old(name: str) -> Column:
@@ -125,6 +139,37 @@ def merge_frame(
     return reduce(DataFrame.unionByName, parts, merged)
 
 
+class NotExpressible(ValueError):
+    """A merge rule that has no SQL text."""
+
+
+def merge_statement(
+    table: str, source: str, target_columns: Sequence[str], source_columns: Sequence[str], keys: Sequence[str], *,
+    update: Mapping[str, str] | Sequence[str] | None = None, insert: Mapping[str, str] | None = None, when: Condition | None = None, null_safe: bool = False,
+) -> str:
+    """The same merge as ``merge_frame`` as a MERGE statement, for catalogs whose tables have transactions (M1-M4).
+
+    The rules are the same objects with the same defaults. NULL keys match nothing, as in ``merge_frame``, since ``=`` does not hold for them.
+    """
+    if when is not None and not isinstance(when, Differs):
+        raise NotExpressible("the condition has no SQL text")
+    arriving = set(source_columns)
+    if update is None:
+        update = {c: c for c in target_columns if c in arriving and c not in keys}
+    elif not isinstance(update, Mapping):
+        update = {c: c for c in update}
+    if insert is None:
+        insert = {c: c for c in target_columns if c in arriving}
+    equal = "<=>" if null_safe else "="
+    lines = [f"MERGE INTO {table} AS t USING {source} AS s", "ON " + " AND ".join(f"t.`{k}` {equal} s.`{k}`" for k in keys)]
+    if update:
+        changed = f" AND {when.sql()}" if when is not None else ""
+        lines.append(f"WHEN MATCHED{changed} THEN UPDATE SET " + ", ".join(f"t.`{c}` = s.`{x}`" for c, x in update.items()))
+    values = [f"s.`{insert[c]}`" if c in insert else "NULL" for c in target_columns]
+    lines.append(f"WHEN NOT MATCHED THEN INSERT ({', '.join(f'`{c}`' for c in target_columns)}) VALUES ({', '.join(values)})")
+    return "\n".join(lines)
+
+
 def merged_rows(merged: DataFrame) -> DataFrame:
     return merged.drop(ACTION)
 

@@ -28,13 +28,14 @@ from pyspark.sql import types as T
 
 from tidewright.operators import profile
 from tidewright.operators import watermark as wm
-from tidewright.operators.upsert import ACTION, check_source, merge_frame
+from tidewright.operators.upsert import ACTION, action_counts, check_source, merge_frame, merge_statement
 from tidewright.session import scratch_path
 from tidewright.sources.schema import plain_ddl
 
 # A staged batch is broadcast to its target only below both measured bounds; the session may set others.
 SMALL_ROWS = 2_000_000
 SMALL_BYTES = 256 * 1024 * 1024
+TRANSACTIONAL = ("delta", "iceberg", "hudi")  # providers that take MERGE INTO (fixed values)
 FRESH, OLD = "__fresh", "__old"  # names of a table while it is swapped
 MARK_LOG, QUARANTINE, PROFILES = "water_mark", "quarantine", "column_profile"
 QUARANTINE_DDL = "table_name string, load_time timestamp, source_key string, column_name string, raw_value string, reason string"
@@ -297,6 +298,8 @@ class Store:
         With ``partition`` only the partitions that hold a matched row, or receive one, are rewritten. ``by_key`` says
         that the key decides the partition: then the batch alone tells which ones, and no other is read at all.
         """
+        if self.transactional(layer, table):
+            return self._delegated(layer, table, staged, keys, **rules)
         target = self._widened(layer, table, staged.frame)
         small = staged.small
         null_safe = rules.get("null_safe", False)
@@ -322,6 +325,24 @@ class Store:
             counts = self.replace_partitions(layer, table, merged, partition, touched, metrics)
         return {**counts, "rows_changed": counts["inserted"] + counts["updated"]}
 
+    def transactional(self, layer: str, table: str) -> bool:
+        """Whether the catalog itself can merge into the table."""
+        rows = self.spark.sql(f"DESCRIBE FORMATTED {self.name(layer, table)}").collect()
+        return any(r[0] == "Provider" and r[1].lower() in TRANSACTIONAL for r in rows)
+
+    def _delegated(self, layer: str, table: str, staged: Staged, keys: Sequence[str], **rules) -> dict:
+        """The merge as one statement of the catalog; what changed is counted before, from the keys and the condition alone."""
+        target, view = self.stored(layer, table), f"batch_{uuid.uuid4().hex}"
+        check_source(target, staged.frame, keys, rules.get("null_safe", False))
+        statement = merge_statement(self.name(layer, table), view, target.columns, staged.frame.columns, keys, **rules)
+        seen = action_counts(merge_frame(target, staged.frame, keys, small_source=staged.small, **rules)).first()
+        staged.frame.createOrReplaceTempView(view)
+        try:
+            self.spark.sql(statement)
+        finally:
+            self.spark.catalog.dropTempView(view)
+        return {**seen.asDict(), "row_count_written": seen["inserted"] + seen["updated"] + seen["kept"]}
+
     def _widened(self, layer: str, table: str, batch: DataFrame) -> DataFrame:
         """The stored table with the columns and types that a merge of ``batch`` needs.
 
@@ -394,6 +415,10 @@ class Store:
         self.spark.sql(f"ALTER TABLE {name} ADD PARTITION (run='{run}') LOCATION '{path}'")
         self.spark.catalog.refreshTable(name)
 
+    def log(self, layer: str, log: str, ddl: str, rows: DataFrame) -> None:
+        """Rows added to a log table, as the next run."""
+        self._append(layer, log, ddl, rows, self._run_number())
+
     def keep_rejects(self, layer: str, table: str, load_ts: dt.datetime, rejects: DataFrame) -> None:
         """Rejected values of a load (S5), one row each: source_key, column_name, raw_value, reason."""
         named = [F.lit(table).alias("table_name"), F.lit(load_ts).cast("timestamp").alias("load_time")]
