@@ -441,3 +441,35 @@ def test_a_batch_with_a_new_and_a_wider_column_is_merged_part_by_part(spark, sto
     bad = spark.createDataFrame([(1, "seven", "2024-01")], "id long, n string, month_part string")
     with pytest.raises(TypeChange):
         store.merge("raw", "grown", store.stage(bad, None, "grown"), ["id"], partition="month_part")
+
+
+def test_an_interleaved_snapshot_is_narrow_in_every_column(spark, store):
+    """Files whose least and greatest values a filter on one column meets: few for each column, where a sorted snapshot has few for the first one only."""
+    rows = spark.range(40_000).select(
+        (F.col("id") * 7919 % 40_000).cast("int").alias("a"), (F.col("id") * 104_729 % 39_989).cast("int").alias("b"), F.expr("date'2020-01-01' + cast(id * 31 % 997 AS int)").alias("d")
+    )
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        store.replace("star", "z", rows, sort=["a", "b", "d"], interleave=True)
+        store.replace("star", "s", rows, sort=["a", "b", "d"])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    met = {}
+    for name in ("z", "s"):
+        table = store.read("star", name)
+        assert rows_of(table.agg(F.count("*"), F.sum("a"), F.sum("b"), F.min("d"))) == rows_of(rows.agg(F.count("*"), F.sum("a"), F.sum("b"), F.min("d")))
+        spans = table.groupBy(F.input_file_name()).agg(*[f(c).alias(f"{f.__name__}_{c}") for c in "abd" for f in (F.min, F.max)])
+        filters = {"a": (20_000, 20_100), "b": (10_000, 10_100), "d": (dt.date(2020, 6, 1), dt.date(2020, 6, 4))}
+        met[name] = {c: spans.filter((F.col(f"min_{c}") <= F.lit(hi)) & (F.col(f"max_{c}") >= F.lit(lo))).count() / spans.count() for c, (lo, hi) in filters.items()}
+    assert all(share <= 0.5 for share in met["z"].values()), met
+    assert met["s"]["b"] > 0.9 and met["s"]["d"] > 0.9, met
+
+
+def test_interleaving_takes_nulls_texts_and_empty_tables(spark, store):
+    rows = spark.createDataFrame([("b", None, 1), (None, at(1), 2), ("a", at(2), 3)], "t string, at timestamp, id int")
+    store.replace("star", "odd", rows, sort=["t", "at"], interleave=True)
+    assert rows_of(store.read("star", "odd"), "id") == [(1,), (2,), (3,)]
+    store.replace("star", "odd", rows.limit(0), sort=["t", "at"], interleave=True)
+    assert store.read("star", "odd").count() == 0

@@ -122,6 +122,14 @@ def o1_sorted_snapshot(spark, sf):
     return store.read("raw", "orders").filter(F.col("o_orderdate") >= F.lit("1999-01-01").cast("date"))
 
 
+@query("o1_interleaved_snapshot", "SELECT o_orderkey, o_custkey, o_orderdate FROM orders WHERE o_custkey < 20")
+def o1_interleaved_snapshot(spark, sf):
+    """A snapshot in the interleaved order of three columns, filtered by the second one."""
+    store, orders = _store(spark), table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    store.replace("raw", "orders", orders, sort=["o_orderdate", "o_custkey", "o_orderkey"], interleave=True)
+    return store.read("raw", "orders").filter("o_custkey < 20")
+
+
 @query(
     "s5_quarantine",
     sql(

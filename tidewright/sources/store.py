@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 from tidewright.operators import profile
 from tidewright.operators import watermark as wm
 from tidewright.operators.upsert import ACTION, action_counts, check_source, merge_frame, merge_statement
+from tidewright.operators.zorder import interleaved
 from tidewright.session import scratch_path
 from tidewright.sources.schema import plain_ddl
 
@@ -36,6 +37,7 @@ from tidewright.sources.schema import plain_ddl
 SMALL_ROWS = 2_000_000
 SMALL_BYTES = 256 * 1024 * 1024
 TRANSACTIONAL = ("delta", "iceberg", "hudi")  # providers that take MERGE INTO (fixed values)
+INTERLEAVED = "_interleaved"
 FRESH, OLD = "__fresh", "__old"  # names of a table while it is swapped
 MARK_LOG, QUARANTINE, PROFILES = "water_mark", "quarantine", "column_profile"
 QUARANTINE_DDL = "table_name string, load_time timestamp, source_key string, column_name string, raw_value string, reason string"
@@ -140,8 +142,12 @@ class Store:
             f"LOCATION '{self._fresh_path(layer, table)}'"
         )
 
-    def _write(self, df: DataFrame, path: str, metrics: Sequence[Column], sort: Sequence[str] = ()) -> dict:
-        if sort:
+    def _write(self, df: DataFrame, path: str, metrics: Sequence[Column], sort: Sequence[str] = (), interleave: bool = False) -> dict:
+        if sort and interleave:
+            tie = F.xxhash64(*[c for c in df.columns if c != ACTION])
+            ranked = interleaved(df, sort, INTERLEAVED)
+            df = ranked.repartitionByRange(INTERLEAVED, tie).sortWithinPartitions(INTERLEAVED).drop(INTERLEAVED)
+        elif sort:
             # ranges are cut by the sort columns and a hash of the row: a value that holds a large share of the
             # rows is spread over several tasks, and files stay narrow in the sort columns
             tie = F.xxhash64(*[c for c in df.columns if c != ACTION])
@@ -168,15 +174,16 @@ class Store:
         return counts, {r[0] for r in values.collect()}  # read from the folder names; months, not rows
 
     def replace(
-        self, layer: str, table: str, df: DataFrame, metrics: Sequence[Column] = (), sort: Sequence[str] = ()
+        self, layer: str, table: str, df: DataFrame, metrics: Sequence[Column] = (), sort: Sequence[str] = (), interleave: bool = False
     ) -> dict:
         """New snapshot, then the location switch (S6, M5). Returns what was observed in the same pass.
 
-        ``sort`` range-partitions the rows, so that min/max statistics let later scans skip files (O1).
+        ``sort`` range-partitions the rows, so that min/max statistics let later scans skip files (O1): by the first column, or with
+        ``interleave`` by any of them. ``df`` is then read twice, once for the ranks.
         """
         path = self._fresh_path(layer, table)
         self._database(layer)
-        counts = self._write(df, path, metrics, sort)
+        counts = self._write(df, path, metrics, sort, interleave)
         if self.exists(layer, table) and self._same_layout(layer, table, df.drop(ACTION), None):
             self.spark.sql(f"ALTER TABLE {self.name(layer, table)} SET LOCATION '{path}'")
         else:
