@@ -9,11 +9,11 @@ from operator import and_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewright.catalog.entities import conform_copies
-from tidewright.catalog.registry import query, table
+from tidewright.catalog.entities import Staff, conform_copies, gl_lines
+from tidewright.catalog.registry import ORACLES, query, table
 from tidewright.catalog.standins import LOAD_TS, MARK, Tables, sql
 from tidewright.operators.profile import QUANTILES
-from tidewright.plans import loads
+from tidewright.plans import conform, loads
 from tidewright.plans.layouts import star_layout
 from tidewright.plans.star import dimension_load
 from tidewright.session import scratch_path, written
@@ -291,3 +291,66 @@ def g4_dim_department(spark, sf):
 )
 def g6_dim_location(spark, sf):
     return _dimension(spark, sf, "dim_location", "location")
+
+
+@query("g8_dim_sales_territory", f"SELECT n_nationkey AS sales_territory_key, CAST(n_regionkey AS VARCHAR) AS sales_territory_group, n_name AS sales_territory_country, {_EARLY} FROM nation")
+def g8_dim_sales_territory(spark, sf):
+    """The territory's whole layout, through the renamed columns of its conformed table."""
+    return _dimension(spark, sf, "dim_sales_territory", "sales_territory")
+
+
+def _of_entity(entity: str, conformed: str, replace: str = "") -> str:
+    return f"SELECT * {replace} RENAME ({entity}_id AS {entity}_key) FROM ({ORACLES[conformed]})"
+
+
+@query("g3_dim_customer", _of_entity("customer", "t3_conform_customer"))
+def g3_dim_customer(spark, sf):
+    return length_checked(dimension_load("dim_customer", conform.conform_customer(Tables(spark, sf))), star_layout("dim_customer"))
+
+
+_NUMBER_AS_TEXT = "REPLACE (employee_national_number::VARCHAR AS employee_national_number)"
+
+
+@query("g5_dim_employee", _of_entity("employee", "t5_conform_employee", _NUMBER_AS_TEXT))
+def g5_dim_employee(spark, sf):
+    return length_checked(dimension_load("dim_employee", conform.conform_employee(Staff(spark, sf))), star_layout("dim_employee"))
+
+
+@query("g7_dim_product", _of_entity("product", "t7_conform_product"))
+def g7_dim_product(spark, sf):
+    return length_checked(dimension_load("dim_product", conform.conform_product(Tables(spark, sf))), star_layout("dim_product"))
+
+
+@query("g11_repaired_keys", ORACLES["g11_fact_transaction"])
+def g11_repaired_keys(spark, sf):
+    """Facts loaded into created tables (S10) before a third of the accounts, whose keys are looked up again once they are there."""
+    store, t = _store(spark), Tables(spark, sf)
+    loads.create_tables(store)
+    store.replace("conformed", "transaction", gl_lines(spark, sf))
+    for name in ("dim_department", "dim_class", "dim_date"):
+        store.replace("star", name, getattr(t, name)())
+    store.replace("star", "dim_account", t.dim_account().filter("account_key % 3 <> 1"))
+    loads.load_star_full(store, "fact_transaction", LOAD_TS)
+    store.replace("star", "dim_account", t.dim_account())
+    loads.repair_keys(store, "fact_transaction", LOAD_TS)
+    return store.read("star", "fact_transaction").drop(loads.MONTH_PART)
+
+
+@query(
+    "i8_load_time_marks",
+    sql(
+        f"""SELECT 'budget' AS table_name, TIMESTAMP '{LOAD_TS}' AS max_modified_date, count(*) AS row_count FROM x_m_budget
+            UNION ALL SELECT 'survey', TIMESTAMP '{LOAD_TS}', count(*) FROM x_m_survey""",
+        "m_budget",
+        "m_survey",
+    ),
+)
+def i8_load_time_marks(spark, sf):
+    """Tables that are read whole and compared by hash are marked with the time of their load (I8, I9), whatever their rows say."""
+    store, t = _store(spark), Tables(spark, sf)
+    loads.create_tables(store)
+    for name in ("m_budget", "m_survey"):
+        store.replace("raw", name, getattr(t, name)())
+    for name in ("budget", "survey"):
+        loads.load_conformed_incremental(store, name, LOAD_TS)
+    return store.marks("conformed").select("table_name", "max_modified_date", "row_count")
