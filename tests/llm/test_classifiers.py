@@ -159,3 +159,34 @@ def test_short_terms_are_learned_and_match_exactly():
     assert toxicity.Term(b"kys", False) in terms
     data = np.frombuffer(b"kys kya kyss ky", np.uint8)
     assert toxicity.Automaton(terms).match(data, *toxicity.words_of(data)).tolist() == [toxicity.WORD, toxicity.NONE, toxicity.NONE, toxicity.NONE]
+
+
+def test_scores_equal_a_plain_loop_over_bytes():
+    import math
+
+    network = quality.Network.fresh(0.3)
+    rng = np.random.default_rng(3)
+    for name in ("filter_bias", "hidden_bias", "out_bias"):
+        network.weights[name] = rng.standard_normal(network.weights[name].shape).astype(np.float32) / 4
+    w = {k: v.astype(float) for k, v in network.weights.items()}
+    texts = [b"", b"a", bytes(rng.integers(1, 256, 40, np.uint8)), b"word " * 100, bytes(rng.integers(1, 256, 1300, np.uint8))]
+
+    def score(text: bytes) -> float:
+        step, chunks = quality.CHUNK - quality.OVERLAP, []
+        for at in range(0, max(1, len(text) - quality.OVERLAP), step) if text else ():
+            part = text[at : at + quality.CHUNK].ljust(quality.CHUNK, b"\0")
+            best = [0.0] * quality.FILTERS
+            for first in range(0, quality.CHUNK - quality.WIDTH + 1, quality.STRIDE):
+                seen = [x for byte in part[first : first + quality.WIDTH] for x in w["embed"][byte]]
+                for f in range(quality.FILTERS):
+                    best[f] = max(best[f], sum(a * b for a, b in zip(seen, w["filters"][:, f])) + w["filter_bias"][f])
+            chunks.append(best)
+        mean = [sum(c[f] for c in chunks) / len(chunks) if chunks else 0.0 for f in range(quality.FILTERS)]
+        most = [max((c[f] for c in chunks), default=0.0) for f in range(quality.FILTERS)]
+        place = min(max(math.log2(max(len(text), 1)) - 4, 0), quality.SIZES - 1)
+        features = mean + most + [max(0.0, 1 - abs(place - k)) for k in range(quality.SIZES)]
+        hidden = [max(0.0, sum(a * b for a, b in zip(features, w["hidden"][:, h])) + w["hidden_bias"][h]) for h in range(quality.HIDDEN)]
+        logit = sum(a * b for a, b in zip(hidden, w["out"])) + w["out_bias"][0] + math.log(0.3 / 0.7)
+        return 1 / (1 + math.exp(-logit))
+
+    assert network.scores(texts).tolist() == pytest.approx([score(t) for t in texts], abs=1e-5)
