@@ -473,3 +473,15 @@ def test_interleaving_takes_nulls_texts_and_empty_tables(spark, store):
     assert rows_of(store.read("star", "odd"), "id") == [(1,), (2,), (3,)]
     store.replace("star", "odd", rows.limit(0), sort=["t", "at"], interleave=True)
     assert store.read("star", "odd").count() == 0
+
+
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_rows_are_found_in_any_part_whatever_their_key(spark, store, null_safe):
+    """Where the key does not decide the part, the parts that hold a batch's keys are found by the key's range, NULL keys included."""
+    rows = spark.createDataFrame([(1, "2024-01", "a"), (None, "2024-02", "b"), (50, "2024-03", "c"), (99, "2024-04", "d")], "id long, month_part string, value string")
+    store.reload_partitioned("raw", "any", rows, "month_part")
+    batch = spark.createDataFrame([(50, "2024-05", "moved"), (None, "2024-02", "new"), (60, "2024-01", "added")], "id long, month_part string, value string")
+    store.merge("raw", "any", store.stage(batch, None, "any"), ["id"], partition="month_part", null_safe=null_safe)
+    held = rows_of(store.read("raw", "any"), "id", "month_part", "value")
+    expected = [(1, "2024-01", "a"), (50, "2024-05", "moved"), (60, "2024-01", "added"), (99, "2024-04", "d"), (None, "2024-02", "new")]
+    assert held == sorted(expected + ([] if null_safe else [(None, "2024-02", "b")]), key=str)

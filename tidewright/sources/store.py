@@ -323,7 +323,11 @@ class Store:
             if not by_key:
                 batch_keys = staged.frame.select(*[F.col(k).alias(f"_{k}") for k in keys])
                 on = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) if null_safe else F.col(k) == F.col(f"_{k}") for k in keys])
-                hit = target.select(*keys, partition).join(F.broadcast(batch_keys) if small else batch_keys, on, "left_semi")
+                # the batch's ends of the first key reach the scan: mostly recent keys, whose row groups are few
+                low, high = staged.frame.agg(F.min(keys[0]), F.max(keys[0])).first()
+                near = F.col(keys[0]).between(F.lit(low), F.lit(high)) if low is not None else F.lit(False)
+                near = near | F.col(keys[0]).isNull() if null_safe else near
+                hit = target.select(*keys, partition).filter(near).join(F.broadcast(batch_keys) if small else batch_keys, on, "left_semi")
                 values = values.union(hit.select(partition))
             touched = [r[0] for r in values.distinct().collect()]
             part = target.filter(F.col(partition).isin(touched)) if touched else target.limit(0)
