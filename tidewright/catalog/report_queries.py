@@ -91,6 +91,29 @@ def r2_pipeline_by_stage(spark, sf):
     return reports.pipeline_by_stage(st.fact_opportunity(spark, sf))
 
 
+@query(
+    "r2_pipeline_forecast",
+    sql(
+        f"""SELECT close_month, opportunity_stage, opportunities, CAST(estimated_value AS DOUBLE) AS estimated_value, rate,
+            rate * CAST(estimated_value AS DOUBLE) AS expected_value,
+            sum(rate * CAST(estimated_value AS DOUBLE)) OVER (ORDER BY coalesce(close_month, '9999'), opportunity_stage ROWS UNBOUNDED PRECEDING) AS running_expected
+           FROM (SELECT *, CASE opportunity_stage WHEN 'click' THEN 0.25::DOUBLE ELSE win_rate END AS rate
+                 FROM (SELECT CASE WHEN date_key IS NOT NULL THEN {_MONTH.format('date_key')} END AS close_month, opportunity_stage,
+                         sum(estimated_value) AS estimated_value, count(*) AS opportunities
+                       FROM o LEFT JOIN event_date d ON d.date = CAST(o.close_date AS DATE) GROUP BY 1, 2),
+                      (SELECT CAST(sum(estimated_value) FILTER (opportunity_stage = 'purchase') AS DOUBLE) / CAST(sum(estimated_value) AS DOUBLE) AS win_rate
+                       FROM o WHERE opportunity_stage IN ('purchase', 'error'))
+                 WHERE opportunity_stage NOT IN ('purchase', 'error'))""",
+        "opportunity",
+        "customer",
+        "leads",
+        **_OPPORTUNITY,
+    ),
+)
+def r2_pipeline_forecast(spark, sf):
+    return reports.pipeline_forecast(st.fact_opportunity(spark, sf), "purchase", "error", {"click": 0.25})
+
+
 @query(
     "r3_stock_status",
     sql(

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import or_
 
@@ -52,6 +52,28 @@ def pipeline_by_stage(opportunities: DataFrame) -> DataFrame:
     ).agg(_sum("estimated_value"), F.count(F.lit(1)).alias("opportunities"))
 
 
+def pipeline_forecast(opportunities: DataFrame, won: str, lost: str, stage_rates: Mapping[str, float] | None = None) -> DataFrame:
+    """Expected value of open opportunities by close month and stage (R2), and its running total over the months.
+
+    An opportunity counts with the rate of its stage; a stage without one counts with the win rate of what is closed: won value over
+    won and lost value. Opportunities are summed per month and stage before anything else; what is joined and windowed are those sums.
+    """
+    sums = pipeline_by_stage(opportunities)
+    stage, value = F.col("opportunity_stage"), F.col("estimated_value").cast("double")
+    closed = F.sum(F.when(stage.isin(won, lost), value))
+    rate = sums.agg((F.sum(F.when(stage == won, value)) / closed).alias("win_rate"))
+    given = F.lit(None).cast("double")
+    for name, share in (stage_rates or {}).items():
+        given = F.when(stage == name, F.lit(float(share))).otherwise(given)
+    open_ones = sums.filter(~F.coalesce(stage.isin(won, lost), F.lit(False)))
+    weighed = open_ones.crossJoin(F.broadcast(rate)).withColumn("rate", F.coalesce(given, "win_rate"))  # one row by construction
+    expected = (F.col("rate") * F.col("estimated_value").cast("double")).alias("expected_value")
+    months = weighed.select("close_month", "opportunity_stage", "opportunities", "estimated_value", "rate", expected)
+    order = F.coalesce("close_month", F.lit("9999"))  # without a date: last
+    upto = Window.orderBy(order, F.coalesce("opportunity_stage", F.lit(""))).rowsBetween(Window.unboundedPreceding, 0)  # a row per month and stage
+    return months.withColumn("running_expected", F.sum("expected_value").over(upto))
+
+
 def stock_status(inventory: DataFrame, products: DataFrame) -> DataFrame:
     """Latest balance per product and location against the product's stock levels."""
     latest = inventory.groupBy("product_key", "location_key").agg(
