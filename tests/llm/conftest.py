@@ -61,7 +61,7 @@ def no_docs(spark):
 @pytest.fixture(scope="session")
 def clashing(spark):
     """Columns with the names that the operators use or return."""
-    names = "keep_id group_size kept TEXT_SHA256 n_words n_removed kept_text print ranges node component copies size target rows source_size digest"
+    names = "keep_id group_size kept TEXT_SHA256 n_words n_removed kept_text print ranges node component copies size target rows source_size digest _digest _keep_id _is_hot __kept"
     extra = ", ".join(f"{n} string" for n in names.split())
     rows = [(i, f"row {i % 3} text", "en", "s", 1, *["x"] * len(names.split())) for i in range(6)]
     return spark.createDataFrame(rows, f"{DOCS}, {extra}")

@@ -195,6 +195,8 @@ def join_classes(members: DataFrame, classes: DataFrame, keys: Sequence[str], si
     limit = max(1, total // HOT_CLASSES)
     hot = classes.filter(F.col(size) > limit)
     mark = "_is_hot"
+    while mark in members.columns:
+        mark += "_"
     marked = members.join(F.broadcast(hot.select(*keys, F.lit(True).alias(mark))), list(keys), "left")
     cold = marked.filter(F.col(mark).isNull()).drop(mark).join(classes.filter(F.col(size) <= limit), list(keys), "left")
     warm = marked.filter(F.col(mark)).drop(mark).join(F.broadcast(hot), list(keys), "inner")

@@ -165,37 +165,51 @@ def content_classes(docs: DataFrame, table_bytes: int = TABLE_BYTES) -> DataFram
         records, volume, level = written.filter(spilled), seen.get["bytes"], level + 1
 
 
-def _marked(docs: DataFrame, table_bytes: int) -> DataFrame:
-    """All columns of `docs` and _digest, _keep_id, _group_size, _kept."""
+SMALL_CLASSES = 1_000_000  # classes of several rows, about 60 bytes each, that may be broadcast; beyond, rows are shuffled to them
+
+
+def _marked(docs: DataFrame, table_bytes: int) -> tuple[DataFrame, str]:
+    """All columns of `docs` and digest, keep_id, group_size, kept, under names with a prefix that `docs` does not use."""
+    pre = "_"
+    while any(x.startswith(pre) for x in docs.columns):
+        pre += "_"
+    digest, keep_id, size, ties, kept = (pre + x for x in ("digest", "keep_id", "group_size", "ties", "kept"))
     classes = content_classes(docs, table_bytes)
-    counted = classes.agg(F.sum("copies").alias("n"), F.max("at_largest").alias("ties")).first()
-    total, ties = counted["n"] or 0, counted["ties"] or 0
-    named = classes.select(
-        F.lower(F.hex("digest")).alias("_digest"),
-        F.when(F.col("largest") != _NONE, F.col("largest")).alias("_keep_id"),
-        F.col("copies").alias("_group_size"),
-        F.col("at_largest").alias("_ties"),
+    several = F.col("copies") > 1
+    counted = classes.agg(F.sum("copies").alias("n"), F.max("at_largest").alias("ties"), F.count_if(several).alias("several")).first()
+    # a content that one row has needs no class: only those of several rows are joined
+    named = classes.filter(several).select(
+        F.lower(F.hex("digest")).alias(digest),
+        F.when(F.col("largest") != _NONE, F.col("largest")).alias(keep_id),
+        F.col("copies").alias(size),
+        F.col("at_largest").alias(ties),
     )
-    rows = docs.withColumn("_digest", F.sha2(lowered(F.col("text")), 256))
-    found = join_classes(rows, named, ["_digest"], "_group_size", total)
-    stays = F.col("doc_id").eqNullSafe(F.col("_keep_id"))
-    if ties <= 1:
-        return found.withColumn("_kept", stays)
+    rows = docs.withColumn(digest, F.sha2(lowered(F.col("text")), 256))
+    if counted["several"] <= SMALL_CLASSES:
+        found = rows.join(F.broadcast(named), digest, "left")
+    else:
+        found = join_classes(rows, named, [digest], size, counted["n"])
+    alone = F.col(size).isNull()
+    found = found.withColumns({keep_id: F.when(alone, F.col("doc_id")).otherwise(F.col(keep_id)), ties: F.coalesce(F.col(ties), F.lit(1)), size: F.coalesce(F.col(size), F.lit(1))})
+    stays = F.col("doc_id").eqNullSafe(F.col(keep_id))
+    if (counted["ties"] or 0) <= 1:
+        return found.withColumn(kept, stays), pre
     # only rows that repeat the id of the row that stays are numbered
-    tied = stays & (F.col("_ties") > 1)
-    order = Window.partitionBy("_digest").orderBy("doc_id")
-    first = found.filter(tied).withColumn("_kept", F.row_number().over(order) == 1)
-    return found.filter(~tied).withColumn("_kept", stays).unionByName(first)
+    tied = stays & (F.col(ties) > 1)
+    order = Window.partitionBy(digest).orderBy("doc_id")
+    first = found.filter(tied).withColumn(kept, F.row_number().over(order) == 1)
+    return found.filter(~tied).withColumn(kept, stays).unionByName(first), pre
 
 
 def exact_duplicates(docs: DataFrame, table_bytes: int = TABLE_BYTES) -> DataFrame:
     """All rows of `docs` with keep_id, group_size, kept and text_sha256; columns of these names are replaced."""
     own = others(docs, "keep_id", "group_size", "kept", "text_sha256")
-    found = _marked(docs, table_bytes)
-    named = [F.col("_" + x).alias(x) for x in ("keep_id", "group_size", "kept")]
-    return found.select(*own, *named, F.col("_digest").alias("text_sha256"))
+    found, pre = _marked(docs, table_bytes)
+    named = [F.col(pre + x).alias(x) for x in ("keep_id", "group_size", "kept")]
+    return found.select(*own, *named, F.col(pre + "digest").alias("text_sha256"))
 
 
 def deduplicated(docs: DataFrame, table_bytes: int = TABLE_BYTES) -> DataFrame:
     """The rows that stay, with the columns of the input."""
-    return _marked(docs, table_bytes).filter("_kept").select(*others(docs))
+    found, pre = _marked(docs, table_bytes)
+    return found.filter(F.col(pre + "kept")).select(*others(docs))
