@@ -4,7 +4,7 @@ A revisit is a 304 answer without a body. It is tied to the latest earlier full
 must agree with that response's, and the headers a 304 may update replace the stored ones.
 
 The as-of join works on ranges of (URL, time): a URL with a third of all records is spread over many tasks. Inside a range
-the latest full response is carried forward; what crosses a border is one row per range at most.
+the latest full response is carried forward; what crosses borders is one row per range, and a window over those rows carries it on.
 
 Records: record_id, url, time, full (boolean), etag, last_modified, headers (map of text by lower-case name). Earlier means a smaller
 (time, record_id), a null one being the smallest; of full responses with one time and record_id the one with the largest validators is
@@ -24,6 +24,7 @@ from tidewright.session import written
 #: Headers of a 304 answer that replace those of the stored response (fixed values).
 UPDATED = ["cache-control", "content-location", "date", "etag", "expires", "last-modified", "vary"]
 RANGE_ROWS = 200_000
+MOST_RANGES = 10_000
 
 HOST = r"^(?i:https?://)?(?i:www\.)?([^/?#]*)"
 PATH = r"^(?i:https?://)?[^/?#]*([^?#]*)"
@@ -67,22 +68,23 @@ def resolved(records: DataFrame) -> DataFrame:
     spark = records.sparkSession
     named = records.select("record_id", canonical(F.col("url")).alias("url_key"), "time", F.coalesce("full", F.lit(False)).alias("full"), "etag", "last_modified", "headers")
     known = named.filter("url_key IS NOT NULL")
-    tasks = tasks_for(spark, known.count(), RANGE_ROWS)
+    tasks = min(MOST_RANGES, tasks_for(spark, known.count(), RANGE_ROWS))
     ranges = written(known.repartitionByRange(tasks, "url_key", "time", "record_id").withColumn("part", F.spark_partition_id()), "records")
 
-    ends = ranges.groupBy("part").agg(F.min("url_key").alias("first"), F.max("url_key").alias("last"))
-    lasts = F.broadcast(ends.select("part", F.col("last").alias("url_key")))
-    latest = ranges.filter("full").join(lasts, ["part", "url_key"]).groupBy("part", "url_key")
-    latest = latest.agg(F.max(_rank()).alias("at"), F.max_by(_full(), _rank()).alias("carried"))
-    borders = ends.select(F.col("part").alias("into"), F.col("first").alias("url_key")).join(latest.drop("carried"), "url_key").filter("part < into")
-    sources = borders.groupBy("into", "url_key").agg(F.max_by("part", F.struct("at", "part")).alias("part"))
-    carried = latest.drop("at").join(F.broadcast(sources), ["part", "url_key"]).select("into", "carried", F.col("url_key").alias("first"))
+    # what crosses borders: of every range the latest full response for its last URL, handed to the next ranges that begin with that URL
+    ends = ranges.groupBy("part").agg(F.min("url_key").alias("first"), F.xxhash64(F.max("url_key")).alias("last"))
+    lasts = F.broadcast(ends.select(F.col("part").alias("of"), "last"))  # two numbers a range, MOST_RANGES at most
+    latest = ranges.filter("full").join(lasts, (F.col("part") == F.col("of")) & (F.xxhash64("url_key") == F.col("last")))
+    provided = latest.groupBy("part", "url_key").agg(F.max_by(_full(), _rank()).alias("carried")).withColumn("asked", F.lit(False))
+    asked = ends.select("part", F.col("first").alias("url_key"), F.lit(None).cast(provided.schema["carried"].dataType).alias("carried"), F.lit(True).alias("asked"))
+    earlier = Window.partitionBy("url_key").orderBy("part", F.desc("asked")).rowsBetween(Window.unboundedPreceding, -1)  # two rows a range at most
+    handed = provided.unionByName(asked).withColumn("carried", F.last("carried", ignorenulls=True).over(earlier))
+    carried = handed.filter(F.col("asked") & F.col("carried").isNotNull()).select("part", "url_key", "carried")
 
     before = Window.partitionBy("part", "url_key").orderBy(_rank()).rowsBetween(Window.unboundedPreceding, -1)
     inside = ranges.withColumn("prior", F.last(F.when(F.col("full"), _full()), ignorenulls=True).over(before)).filter("NOT full")
-    joined = inside.join(F.broadcast(carried.withColumnRenamed("into", "part")), "part", "left")
-    from_border = F.when(F.col("url_key") == F.col("first"), F.col("carried"))
-    found = joined.withColumn("prior", F.coalesce("prior", from_border))
+    # dealt like the window before, so rows stay where they are
+    found = inside.join(carried, ["part", "url_key"], "left").withColumn("prior", F.coalesce("prior", "carried"))
     ok = agrees(F.col("etag"), F.col("prior.etag"), F.col("last_modified"), F.col("prior.last_modified"))
     outcome = F.when(F.col("prior").isNull(), "orphan").when(ok, "resolved").otherwise("changed")
     settled = found.withColumn("outcome", outcome).select(
