@@ -49,3 +49,7 @@ def test_the_incremental_query_sums_the_stock_once(spark, monkeypatch):
     monkeypatch.setattr(Tables, "stock", lambda self: calls.append(1) or stock(self))
     QUERIES["t8_ledger_incremental"](spark, SF)
     assert len(calls) == 1
+
+
+def test_the_rebuilt_query_reads_lines_for_movements_and_touched_products_only(spark):
+    assert scans(QUERIES["t8_ledger_rebuilt"](spark, SF), "lineitem.parquet") == 3
