@@ -53,3 +53,7 @@ def test_the_incremental_query_sums_the_stock_once(spark, monkeypatch):
 
 def test_the_rebuilt_query_reads_lines_for_movements_and_touched_products_only(spark):
     assert scans(QUERIES["t8_ledger_rebuilt"](spark, SF), "lineitem.parquet") == 3
+
+
+def test_the_increment_query_reads_lines_for_movements_only(spark):
+    assert scans(QUERIES["t8_ledger_increment"](spark, SF), "lineitem.parquet") == 1
